@@ -130,7 +130,7 @@ def suffix_max(df: DataFrame, group: str, order: str, value: str, tie: str | Non
     w = Window.partitionBy(group).orderBy(*ords).rowsBetween(1, Window.unboundedFollowing)
     later = F.max(value).over(w)
     return df.withColumn(alias, F.when(later.isNull() | (F.col(value) > later), F.lit(-1))
-                         .otherwise(later).cast("bigint"))
+                         .otherwise(later))
 
 
 def product_except_self(df: DataFrame, group: str, value: str, alias: str = "product_others") -> DataFrame:
