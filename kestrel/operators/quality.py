@@ -22,7 +22,6 @@ def rows_per_partition(df: DataFrame, n: int, key: str) -> DataFrame:
 def unique_key_check(df: DataFrame, keys: list[str], table: str) -> DataFrame:
     """TBL-01 (primary key as a check): one row with total rows, distinct
     keys, duplicated keys, null keys and a pass flag."""
-    k = F.struct(*[F.col(c) for c in keys])
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     any_null = None
     for c in keys:
@@ -32,19 +31,15 @@ def unique_key_check(df: DataFrame, keys: list[str], table: str) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("distinct_keys"),
         F.sum(F.when(F.col("_n") > 1, 1).otherwise(0)).cast("bigint").alias("duplicated_keys"),
         F.sum(F.when(any_null, F.col("_n")).otherwise(0)).cast("bigint").alias("null_key_rows"))
-    _ = k
     return out.select(F.lit(table).alias("table_name"), "*",
                       ((F.col("duplicated_keys") == 0) & (F.col("null_key_rows") == 0)).alias("passed"))
 
 
 def null_profile(df: DataFrame, table: str) -> DataFrame:
-    """PIP-17: per column, the number of nulls and of distinct values, in one
-    pass (one aggregate row, then unpivoted with ``stack``)."""
+    """PIP-17: per column, the number of nulls, in one pass (one global
+    aggregate row, combined map-side, then unpivoted with ``stack``)."""
     cols = df.columns
-    aggs = []
-    for c in cols:
-        aggs += [F.sum(F.col(c).isNull().cast("bigint")).alias(f"n_{c}"),
-                 F.approx_count_distinct(c).alias(f"d_{c}")]
+    aggs = [F.sum(F.col(c).isNull().cast("bigint")).alias(f"n_{c}") for c in cols]
     aggs.append(F.count(F.lit(1)).alias("_rows"))
     one = df.groupBy().agg(*aggs)
     stack = "stack({n}, {args}) as (column_name, null_count)".format(
@@ -64,8 +59,8 @@ def days_present_gate(df: DataFrame, ts: str, before: int = 6, after: int = 1, n
     over the whole table and no single-task step.
     """
     days = df.select(F.to_date(ts).alias("d")).distinct()
-    offs = F.explode(F.sequence(F.lit(-after), F.lit(before)))
-    spread = days.select(F.col("d").alias("_data_day"), F.date_add(F.col("d"), offs).alias("file_day"))
+    offs = days.select("d", F.explode(F.sequence(F.lit(-after), F.lit(before))).alias("_off"))
+    spread = offs.select(F.date_add(F.col("d"), F.col("_off")).alias("file_day"))
     counted = spread.groupBy("file_day").agg(F.count(F.lit(1)).alias("days_present"))
     out = counted.join(days.withColumnRenamed("d", "file_day"), "file_day", "left_semi")
     return out.select("file_day", F.col("days_present").cast("bigint").alias("days_present"),

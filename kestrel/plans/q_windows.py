@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import epoch_seconds
-from kestrel.operators import windows
+from kestrel.operators import ledger, windows
 from kestrel.operators.retail import join_left_default
 from kestrel.plans.registry import query
 from kestrel.sources.tables import Tables
@@ -115,3 +115,54 @@ FROM lineitem
 def win_product_except_self(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return windows.product_except_self(li, "l_orderkey", "l_linenumber")
+
+
+# Account movements stand in as events (FIXTURES part 3): signup and click
+# are deposits, purchase is a withdrawal, value is the amount.
+DEPOSITS = ("signup", "click")
+WITHDRAWALS = ("purchase",)
+
+LEDGER_SQL = """
+WITH RECURSIVE mv AS (
+  SELECT user_id, event_id, ts, event_type, value, event_type IN ('signup', 'click') AS is_deposit,
+         CAST(round(value * 100) AS BIGINT) AS cents,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events WHERE event_type IN ('signup', 'click', 'purchase')),
+r AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS bal, CAST(NULL AS BOOLEAN) AS applied
+  FROM mv GROUP BY user_id
+  UNION ALL
+  SELECT r.user_id, mv.rn,
+         CASE WHEN mv.is_deposit THEN r.bal + mv.cents WHEN r.bal > mv.cents THEN r.bal - mv.cents ELSE r.bal END,
+         mv.is_deposit OR r.bal > mv.cents
+  FROM r JOIN mv ON mv.user_id = r.user_id AND mv.rn = r.rn + 1),
+led AS (
+  SELECT mv.user_id, mv.event_id, mv.ts, mv.event_type, mv.value, mv.is_deposit, mv.cents, r.applied,
+         CAST(r.bal AS DOUBLE) / 100 AS balance
+  FROM mv JOIN r ON mv.user_id = r.user_id AND mv.rn = r.rn)
+"""
+
+
+def _ledger(spark, sf):
+    ev = Tables(spark, sf).events.select("user_id", "event_id", "ts", "event_type", "value")
+    return ledger.ledger(ev, "user_id", ["ts", "event_id"], "event_type", "value", DEPOSITS, WITHDRAWALS)
+
+
+@query("ledger_balances", LEDGER_SQL + """
+SELECT user_id, event_id, ts, event_type, value, applied, balance FROM led""")
+def ledger_balances(spark, sf):
+    """WIN-10: every movement with applied/refused and the balance after it."""
+    return _ledger(spark, sf)
+
+
+@query("ledger_monthly", LEDGER_SQL + """
+SELECT user_id, CAST(date_trunc('month', ts) AS DATE) AS month,
+       CAST(sum(CASE WHEN is_deposit THEN cents ELSE 0 END) AS DOUBLE) / 100 AS deposits,
+       CAST(sum(CASE WHEN NOT is_deposit AND applied THEN cents ELSE 0 END) AS DOUBLE) / 100 AS withdrawals,
+       CAST(sum(CASE WHEN NOT is_deposit AND NOT applied THEN 1 ELSE 0 END) AS BIGINT) AS refused_count,
+       arg_max(balance, (ts, event_id)) AS closing_balance
+FROM led GROUP BY 1, 2""")
+def ledger_monthly(spark, sf):
+    """WIN-11: monthly statement per account from the ledger."""
+    return ledger.monthly_statement(_ledger(spark, sf), "user_id", "ts", ["ts", "event_id"],
+                                    F.col("event_type").isin(*DEPOSITS), "value")
