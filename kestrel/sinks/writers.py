@@ -80,6 +80,21 @@ def static_partition_overwrite(spark: SparkSession, table: str, spec: dict[str,
     spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({part}) SELECT {', '.join(cols)} FROM {view}")
 
 
+def insert_overwrite(df: DataFrame, table: str, distribute: bool = True) -> None:
+    """SNK-03 / PRT-03: INSERT OVERWRITE TABLE with dynamic partitions: only
+    the partitions present in ``df`` are replaced. Columns go in by name;
+    ``distribute`` hashes rows by the partition columns first, so each
+    partition directory is written by one task."""
+    spark = df.sparkSession
+    cols = [f.name for f in spark.table(table).schema.fields]
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    out = df.select(*cols)
+    if distribute and parts:
+        out = out.repartition(*parts)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    out.write.insertInto(table, overwrite=True)
+
+
 def append_into(df: DataFrame, table: str) -> None:
     """SNK-05 / SNK-06: INSERT INTO (append), columns matched by name."""
     spark = df.sparkSession

@@ -21,13 +21,16 @@ def scan(spark: SparkSession, fmt: str, path: str, schema: StructType | str | No
     return r.load(path)
 
 
-def csv_with_header(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
+def csv_with_header(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",",
+                    options: dict[str, str] | None = None) -> DataFrame:
     """SRC-02 / SRC-09: header line dropped in every file, typed by schema.
 
     ANSI mode makes a bad number an error; ``mode=PERMISSIVE`` keeps the row
     with a null (Q21)."""
-    return (spark.read.schema(schema).option("header", True).option("sep", sep)
-            .option("mode", "PERMISSIVE").csv(path))
+    r = spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+    for k, v in (options or {}).items():
+        r = r.option(k, v)
+    return r.csv(path)
 
 
 def delimited_text(spark: SparkSession, path: str, schema: StructType | str, sep: str) -> DataFrame:
