@@ -1,7 +1,9 @@
 """SCD type 2 queries. The dimension stands in as customer (key c_custkey,
-address = market segment) with some closed history; updates touch every
-third customer (changed for even keys, unchanged for odd ones) and bring
-new keys (FIXTURES part 3)."""
+address = market segment): customers with a negative balance have only a
+closed row (Q23), BUILDING customers also carry an older closed row. Every
+customer sends an update (a changed address when the balance is above 5000,
+the same one otherwise) and customers above 9000 also bring a new key
+(FIXTURES part 3)."""
 
 from __future__ import annotations
 
@@ -21,30 +23,30 @@ NEW_KEY_OFFSET = 1_000_000
 
 STAGE_SQL = f"""
 WITH dim AS (
-  SELECT c_custkey AS customerId, c_mktsegment AS address, (c_custkey % 11 <> 0) AS current,
+  SELECT c_custkey AS customerId, c_mktsegment AS address, (c_acctbal >= 0) AS current,
          DATE '{LOAD_DATE}' AS effectiveDate,
-         CASE WHEN c_custkey % 11 = 0 THEN DATE '{CLOSED_DATE}' END AS endDate
+         CASE WHEN c_acctbal < 0 THEN DATE '{CLOSED_DATE}' END AS endDate
   FROM customer
   UNION ALL
   SELECT c_custkey, 'OLD ' || c_mktsegment, false, DATE '{HISTORY_DATE}', DATE '{LOAD_DATE}'
-  FROM customer WHERE c_custkey % 5 = 0),
+  FROM customer WHERE c_mktsegment = 'BUILDING'),
 upd AS (
   SELECT c_custkey AS customerId,
-         CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment || ' NEW' ELSE c_mktsegment END AS address,
+         CASE WHEN c_acctbal > 5000 THEN c_mktsegment || ' NEW' ELSE c_mktsegment END AS address,
          DATE '{UPDATE_DATE}' AS effectiveDate
-  FROM customer WHERE c_custkey % 3 = 0
+  FROM customer
   UNION ALL
-  SELECT c_custkey + {NEW_KEY_OFFSET}, c_mktsegment, DATE '{UPDATE_DATE}' FROM customer WHERE c_custkey % 50 = 0)
+  SELECT c_custkey + {NEW_KEY_OFFSET}, c_mktsegment, DATE '{UPDATE_DATE}' FROM customer WHERE c_acctbal > 9000)
 """
 
 
 def dimension(t: Tables):
     c = t.customer
     cur = c.select(F.col("c_custkey").alias("customerId"), F.col("c_mktsegment").alias("address"),
-                   (F.col("c_custkey") % 11 != 0).alias("current"),
+                   (F.col("c_acctbal") >= 0).alias("current"),
                    F.lit(LOAD_DATE).alias("effectiveDate"),
-                   F.when(F.col("c_custkey") % 11 == 0, F.lit(CLOSED_DATE)).alias("endDate"))
-    hist = c.filter(F.col("c_custkey") % 5 == 0).select(
+                   F.when(F.col("c_acctbal") < 0, F.lit(CLOSED_DATE)).alias("endDate"))
+    hist = c.filter(F.col("c_mktsegment") == "BUILDING").select(
         F.col("c_custkey").alias("customerId"), F.concat(F.lit("OLD "), F.col("c_mktsegment")).alias("address"),
         F.lit(False).alias("current"), F.lit(HISTORY_DATE).alias("effectiveDate"),
         F.lit(LOAD_DATE).alias("endDate"))
@@ -53,12 +55,12 @@ def dimension(t: Tables):
 
 def updates(t: Tables):
     c = t.customer
-    upd = c.filter(F.col("c_custkey") % 3 == 0).select(
+    upd = c.select(
         F.col("c_custkey").alias("customerId"),
-        F.when(F.col("c_custkey") % 2 == 0, F.concat(F.col("c_mktsegment"), F.lit(" NEW")))
+        F.when(F.col("c_acctbal") > 5000, F.concat(F.col("c_mktsegment"), F.lit(" NEW")))
         .otherwise(F.col("c_mktsegment")).alias("address"),
         F.lit(UPDATE_DATE).alias("effectiveDate"))
-    new = c.filter(F.col("c_custkey") % 50 == 0).select(
+    new = c.filter(F.col("c_acctbal") > 9000).select(
         (F.col("c_custkey") + NEW_KEY_OFFSET).alias("customerId"), F.col("c_mktsegment").alias("address"),
         F.lit(UPDATE_DATE).alias("effectiveDate"))
     return upd.unionByName(new)
