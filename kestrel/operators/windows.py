@@ -123,14 +123,30 @@ def latest_per_key(df: DataFrame, key: str, order_cols, cols=None) -> DataFrame:
 
 
 def suffix_max(df: DataFrame, group: str, order: str, value: str, tie: str | None = None,
-               alias: str = "next_max") -> DataFrame:
+               alias: str = "next_max", chunk: Column | None = None) -> DataFrame:
     """WIN-08: max of the later rows of the group; -1 for the last row and
-    for a row strictly greater than every later row."""
+    for a row strictly greater than every later row.
+
+    With ``chunk`` (an order-preserving coarsening of ``order``) the window
+    runs per (group, chunk) and the maximum of all later chunks comes from
+    a one-row-per-chunk table, so a huge group is spread over its chunks.
+    """
     ords = [order] + ([tie] if tie else [])
-    w = Window.partitionBy(group).orderBy(*ords).rowsBetween(1, Window.unboundedFollowing)
-    later = F.max(value).over(w)
-    return df.withColumn(alias, F.when(later.isNull() | (F.col(value) > later), F.lit(-1))
-                         .otherwise(later))
+    if chunk is None:
+        w = Window.partitionBy(group).orderBy(*ords).rowsBetween(1, Window.unboundedFollowing)
+        later = F.max(value).over(w)
+        return df.withColumn(alias, F.when(later.isNull() | (F.col(value) > later), F.lit(-1))
+                             .otherwise(later))
+    base = df.withColumn("_c", chunk)
+    w = Window.partitionBy(group, "_c").orderBy(*ords).rowsBetween(1, Window.unboundedFollowing)
+    inner = base.withColumn("_in", F.max(value).over(w))
+    after = Window.partitionBy(group).orderBy("_c").rowsBetween(1, Window.unboundedFollowing)
+    chunks = (base.groupBy(group, "_c").agg(F.max(value).alias("_cm"))
+              .select(group, "_c", F.max("_cm").over(after).alias("_out")))
+    j = inner.join(chunks, [group, "_c"])
+    later = F.greatest(F.col("_in"), F.col("_out"))
+    return (j.withColumn(alias, F.when(later.isNull() | (F.col(value) > later), F.lit(-1)).otherwise(later))
+            .drop("_c", "_in", "_out"))
 
 
 def product_except_self(df: DataFrame, group: str, value: str, alias: str = "product_others") -> DataFrame:

@@ -90,6 +90,8 @@ def join_latest_per_key(spark, sf):
 
 
 _LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity"
+# Lines per window chunk: a hot order is windowed in pieces of this many line numbers.
+LINE_CHUNK = 4
 
 
 @query("win_suffix_max", f"""
@@ -101,7 +103,8 @@ FROM (SELECT *, max(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY {_LINE_OR
 def win_suffix_max(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     w_order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return windows.suffix_max(li.withColumn("_o", w_order), "l_orderkey", "_o", "l_quantity").drop("_o")
+    return windows.suffix_max(li.withColumn("_o", w_order), "l_orderkey", "_o", "l_quantity",
+                              chunk=F.floor(F.col("l_linenumber") / LINE_CHUNK)).drop("_o")
 
 
 @query("win_product_except_self", f"""
