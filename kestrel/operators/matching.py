@@ -200,10 +200,9 @@ def assign_surrogate_keys(incoming: DataFrame, key_table: DataFrame, keys: Seque
     inc = incoming.select(*keys).distinct()
     known = inc.join(key_table.select(*keys, id_col), keys, "inner").withColumn("is_new", F.lit(False))
     new = inc.join(key_table.select(*keys), keys, "left_anti")
-    top = key_table.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("_top"))
+    top = key_table.select(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).scalar()  # scalar subquery
     numbered = dense_number(new, keys, "_n")
-    fresh = (numbered.crossJoin(top)  # one-row table
-             .select(*keys, (F.col("_top") + F.col("_n")).alias(id_col), F.lit(True).alias("is_new")))
+    fresh = numbered.select(*keys, (top + F.col("_n")).alias(id_col), F.lit(True).alias("is_new"))
     return known.select(*keys, F.col(id_col).cast("bigint").alias(id_col), "is_new").unionByName(fresh)
 
 
