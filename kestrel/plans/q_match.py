@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from kestrel.functions.scalars import decrypt_id, encrypt_id, hash_ip
 from kestrel.operators import extracts, matching
 from kestrel.plans.registry import query
 from kestrel.session import scratch_path
+from kestrel.sinks import writers
 from kestrel.sources.tables import Tables
 
 # Cipher key of the fixtures, derived from a label (a real job reads its key
@@ -287,8 +289,10 @@ UNION ALL
 SELECT input_street, input_zip, input_city, input_state, 'NON_MATCHED_ADDRESS', {_SRC}
 FROM matched WHERE uhid = '-1'""")
 def dq_reject_routing(spark, sf):
-    """PIP-08 / SNK-05: rejects with their reason (load time is added by the
-    writer and left out here). Valid and rejected rows add up to the input."""
+    """PIP-08 / SNK-05 / DAT-05: rejects appended (INSERT INTO, by name) to a
+    rejects table partitioned by segment and advertiser, each with its
+    reason and the load time; read back without the load time. Valid and
+    rejected rows add up to the input."""
     t = Tables(spark, sf)
     cols = [F.col("input_street").alias("src_street"), F.col("input_zip").alias("src_zipcode"),
             F.col("input_city").alias("src_city"), F.col("input_state").alias("src_state"), "reason",
@@ -296,7 +300,14 @@ def dq_reject_routing(spark, sf):
     bad = routed(t).filter(F.col("reason").isNotNull()).select(*cols)
     unmatched = (matched(t).filter(F.col("uhid") == "-1")
                  .withColumn("reason", F.lit(matching.REASON_NON_MATCHED)).select(*cols))
-    return bad.unionByName(unmatched)
+    table = f"rejects_{uuid.uuid4().hex[:10]}"
+    writers.create_partitioned_table(
+        spark, table, "src_street string, src_zipcode string, src_city string, src_state string, reason string, "
+        "file_name string, dtm_created timestamp, segment_name string, advertiser_name string",
+        ["segment_name", "advertiser_name"], scratch_path(spark, "rejects"))
+    for part in (bad, unmatched):
+        writers.append_into(part.withColumn("dtm_created", F.current_timestamp()), table)
+    return spark.table(table).drop("dtm_created")
 
 
 @query("surrogate_key_assign", """
