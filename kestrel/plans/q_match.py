@@ -133,6 +133,21 @@ def gold(t: Tables) -> DataFrame:
                     "segment_name", "advertiser_name")
 
 
+GOLD_DDL = ("segment_id bigint, uhid string, nu_uhid string, hash_ip_addr string, file_name string, "
+            "segment_name string, advertiser_name string")
+
+
+def publish_gold(spark, t: Tables) -> str:
+    """PIP-11 / SNK-03: the gold table partitioned by (segment, advertiser);
+    every file's partition is replaced in one dynamic INSERT OVERWRITE, so
+    a rerun publishes the same rows again (idempotent). Returns its name."""
+    table = f"gold_{uuid.uuid4().hex[:10]}"
+    writers.create_partitioned_table(spark, table, GOLD_DDL, ["segment_name", "advertiser_name"],
+                                     scratch_path(spark, "gold"))
+    writers.insert_overwrite(gold(t), table)
+    return table
+
+
 # ---------------------------------------------------------------- oracle SQL
 
 def _std_line1_sql(x: str) -> str:
@@ -359,7 +374,8 @@ def extract_hash_map(spark, sf):
 @query("extract_partner_ids", GOLD_SQL + "SELECT file_name, nu_uhid FROM gold WHERE length(nu_uhid) > 2")
 def extract_partner_ids(spark, sf):
     base = scratch_path(spark, "extracts")
-    p = extracts.write_extract(extracts.partner_ids(gold(Tables(spark, sf))), base, "nu")
+    g = spark.table(publish_gold(spark, Tables(spark, sf)))
+    p = extracts.write_extract(extracts.partner_ids(g), base, "nu")
     return extracts.read_extract(spark, p, "nu_uhid")
 
 
@@ -367,7 +383,8 @@ def extract_partner_ids(spark, sf):
 SELECT file_name, uhid FROM gold WHERE length(uhid) > 2 AND (length(nu_uhid) > 2 OR length(hash_ip_addr) > 2)""")
 def extract_ids(spark, sf):
     base = scratch_path(spark, "extracts")
-    p = extracts.write_extract(extracts.ids(gold(Tables(spark, sf))), base, "uh")
+    g = spark.table(publish_gold(spark, Tables(spark, sf)))
+    p = extracts.write_extract(extracts.ids(g), base, "uh")
     return extracts.read_extract(spark, p, "uhid")
 
 
@@ -379,5 +396,6 @@ def extract_unhash_ip(spark, sf):
     t = Tables(spark, sf)
     hm = extracts.upkeep_hash_map(spark, _segment_ips(t), scratch_path(spark, "hash-map"), IP_SALT)
     base = scratch_path(spark, "extracts")
-    p = extracts.write_extract(extracts.unhashed_ips(gold(t), hm), base, "ip")
+    g = spark.table(publish_gold(spark, t))
+    p = extracts.write_extract(extracts.unhashed_ips(g, hm), base, "ip")
     return extracts.read_extract(spark, p, "unhash_ip_addr")
