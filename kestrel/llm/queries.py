@@ -38,3 +38,10 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
 SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
 """
+
+
+@query
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kestrel.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
