@@ -73,3 +73,27 @@ SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_ite
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN found ON d.doc_id = found.doc_id
 """
+
+
+def _remainder(n: int):
+    """crc32 of doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kestrel.llm.languages import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    return identify(docs, fit(docs.where(_remainder(4) != 2))).select("doc_id", held, "lang_pred", "score", "rejected")
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kestrel.llm.quality import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels").where(_remainder(5) != 0))
+    held = F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out")
+    return score(docs, model).select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
