@@ -118,7 +118,7 @@ class Words:
         """64-bit hash of each word's bytes."""
         if not self.n:
             return np.zeros(0, U64)
-        table_, up, down = _powers(len(self.data), seed)
+        table_, up, down = powers(len(self.data), seed)
         total = np.zeros(len(self.data) + 1, U64)
         np.cumsum(table_[self.data] * up[: len(self.data)], out=total[1:])
         return mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(U64))
@@ -127,7 +127,7 @@ class Words:
 _POWERS: dict[int, tuple] = {}
 
 
-def _powers(n: int, seed: int):
+def powers(n: int, seed: int):
     """A random value for each byte; powers of an odd number and of its inverse modulo 2**64."""
     got = _POWERS.get(seed)
     if got is None or len(got[1]) < n:
@@ -158,7 +158,7 @@ def grams(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     m = len(h) - k + 1
     if m <= 0:
         return np.zeros(0, U64)
-    _, up, down = _powers(len(h) + 1, 100 + seed)
+    _, up, down = powers(len(h) + 1, 100 + seed)
     total = np.zeros(len(h) + 1, U64)
     np.cumsum(h * up[: len(h)], out=total[1:])
     return mix((total[k:] - total[:m]) * down[:m] + U64(k))

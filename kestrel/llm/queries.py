@@ -97,3 +97,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs, table(spark, sf_dir, "labels").where(_remainder(5) != 0))
     held = F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out")
     return score(docs, model).select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kestrel.llm.lines import dedup_lines
+
+    out = dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
