@@ -105,3 +105,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
+
+
+#: The (host, path) rules of the query.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kestrel.llm.urls import judge
+
+    # a page is a bad example if the document of the same number is of low quality or toxic
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("block"))
+    return judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
