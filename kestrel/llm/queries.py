@@ -118,3 +118,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a page is a bad example if the document of the same number is of low quality or toxic
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("block"))
     return judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
+@query
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kestrel.llm.sketches import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
