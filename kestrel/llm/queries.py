@@ -125,3 +125,22 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kestrel.llm.sketches import fingerprint_documents
 
     return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kestrel.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from kestrel.llm.common import work_path
+    from kestrel.llm.tokens import read_tokens, write_tokens
+
+    path = work_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return read_tokens(spark, path)
