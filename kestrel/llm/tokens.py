@@ -34,6 +34,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -101,7 +102,8 @@ class Block:
 class Encoder:
     """Ids of texts by the tokenizers library, each different part of a text encoded once."""
 
-    KEEP = 300_000
+    #: Parts remembered (about 200 bytes each); beyond that the memory starts anew.
+    KEEP = 800_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -117,47 +119,71 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.place, self.lists = {}, []
+        self.place: dict[str, int] = {}  # of a part without the space it starts with
         self.flat, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, parts: list[str]):
-        if len(self.place) + len(parts) > self.KEEP:
-            self._forget()
-        new = [e.ids for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
-        self.place.update(zip(parts, range(len(self.size), len(self.size) + len(parts)), strict=True))
-        size = np.array([len(x) for x in new], np.int64)
-        flat = np.fromiter((i for x in new for i in x), np.uint32, int(size.sum()))
-        self.first = np.r_[self.first, len(self.flat) + np.cumsum(size) - size]
-        self.size, self.flat = np.r_[self.size, size], np.r_[self.flat, flat]
+    def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all parts, number of ids of each)."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum())), size
 
     @staticmethod
-    def cut(text: str) -> list[str]:
-        """Parts whose ids, one after another, are the text's ids."""
-        words = text.split(" ")
-        out = [words[0]]
+    def cut(words: list[str]) -> list[str]:
+        """Words between single spaces; one that does not start with a non-space is part of the one before."""
+        out = words[:1]
         for w in words[1:]:
             if not w or w[0].isspace():
                 out[-1] += " " + w
             else:
-                out.append(" " + w)
+                out.append(w)
         return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end id after each; number of ids of each text, end id included)."""
-        cut = [[t] if not self.parts or any(a in t for a in self.added) else self.cut(t) for t in texts]
-        for _ in range(2):
-            missing = list({p for c in cut for p in c if p not in self.place})
-            if not missing:
-                break
-            self._learn(missing)  # may forget what was known before
-        place = np.fromiter((self.place[p] for c in cut for p in c), np.int64)
-        n_parts = np.array([len(c) for c in cut], np.int64)
-        size = self.size[place]
-        ids = self.flat[ranges(self.first[place], size)]
-        upto = np.r_[0, np.cumsum(size)][np.cumsum(n_parts)] if len(cut) else np.zeros(0, np.int64)
+        cut = [[t] if not self.parts or any(a in t for a in self.added) else t.split(" ") for t in texts]
+        heads = [c[0] for c in cut]
+        new = set().union(*cut).difference(self.place)
+        loose = {w for w in new if not w or w[0].isspace()}
+        if loose:
+            for i, c in enumerate(cut):
+                if not loose.isdisjoint(c):
+                    cut[i] = self.cut(c)
+                    heads[i] = cut[i][0]
+        for c in cut:
+            del c[0]
+        new = set().union(*cut).difference(self.place)
+        if len(self.place) + len(new) > self.KEEP:
+            self._forget()
+            new = set().union(*cut)
+        if new:
+            new = sorted(new)
+            flat, size = self._ids([" " + w for w in new])
+            self.place.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
+            self.first = np.r_[self.first, len(self.flat) + np.cumsum(size) - size]
+            self.size, self.flat = np.r_[self.size, size], np.r_[self.flat, flat]
+        # the first part of each text has no space before it
+        head_flat, head_size = self._ids(heads)
+        n_parts = np.fromiter(map(len, cut), np.int64, len(cut))
+        place = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, int(n_parts.sum()))
+        start = np.cumsum(n_parts) - n_parts
+        first = np.insert(self.first[place], start, len(self.flat) + np.cumsum(head_size) - head_size)
+        size = np.insert(self.size[place], start, head_size)
+        ids = np.r_[self.flat, head_flat][ranges(first, size)]
+        upto = np.r_[0, np.cumsum(size)][np.cumsum(n_parts + 1)] if len(cut) else np.zeros(0, np.int64)
         return np.insert(ids, upto, END), np.diff(np.r_[0, upto]) + 1
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python worker, kept from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, block_tokens: int = BLOCK_TOKENS, block_bytes: int = BLOCK_BYTES) -> None:
     """Encode all texts and write them to ``path`` in ascending order of doc_id."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -179,7 +205,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, block_tokens:
 
         for batch in batches:
             for piece in slices(batch, "text", block_bytes // 2):
-                encoder = encoder or Encoder(tokenizer_path)
+                encoder = encoder_of(tokenizer_path)
                 ids, counts = encoder.encode(piece.column("text").to_pylist())
                 held[0].extend(piece.column("doc_id").to_pylist())
                 held[1].append(counts)
