@@ -103,7 +103,7 @@ class Encoder:
     """Ids of texts by the tokenizers library, each different part of a text encoded once."""
 
     #: Parts remembered (about 200 bytes each); beyond that the memory starts anew.
-    KEEP = 800_000
+    KEEP = 1_000_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -141,23 +141,25 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end id after each; number of ids of each text, end id included)."""
-        cut = [[t] if not self.parts or any(a in t for a in self.added) else t.split(" ") for t in texts]
+        whole = {t for t in texts if not self.parts or any(a in t for a in self.added)}
+        cut = [[t] if t in whole else t.split(" ") for t in texts]
         heads = [c[0] for c in cut]
-        new = set().union(*cut).difference(self.place)
+        new = set().union(*cut).difference(self.place, whole)
         loose = {w for w in new if not w or w[0].isspace()}
         if loose:
             for i, c in enumerate(cut):
                 if not loose.isdisjoint(c):
                     cut[i] = self.cut(c)
                     heads[i] = cut[i][0]
+            new = set().union(*cut).difference(self.place, whole)
+            new = {w for w in new if w and not w[0].isspace()}
         for c in cut:
             del c[0]
-        new = set().union(*cut).difference(self.place)
         if len(self.place) + len(new) > self.KEEP:
             self._forget()
             new = set().union(*cut)
         if new:
-            new = sorted(new)
+            new = list(new)
             flat, size = self._ids([" " + w for w in new])
             self.place.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
             self.first = np.r_[self.first, len(self.flat) + np.cumsum(size) - size]
