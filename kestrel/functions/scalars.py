@@ -24,14 +24,19 @@ def money_sum(c) -> Column:
     return F.sum(money(c))
 
 
-def exact_avg(c) -> Column:
-    """Average of a 2-decimal column: exact decimal sum, one double division."""
-    return F.sum(money(c)).cast("double") / F.count(c if isinstance(c, str) else c).cast("double")
+def exact(c: Column, kind, value_type: str | None = None) -> Column:
+    """A measure as a decimal, so that sums do not hang on their order.
 
-
-def round_half_up_cents(total_cents: Column, n: Column) -> Column:
-    """round(total_cents / n) half up, in integer arithmetic, as cents."""
-    return F.floor((total_cents * 2 + n) / (n * 2)).cast("bigint")
+    ``value_type`` names the decimal. Without it a decimal column keeps its
+    own type, whole numbers become decimal(28,0), and floating point numbers
+    decimal(28,10): 18 digits before the point, 10 after it.
+    """
+    if value_type is None:
+        name = kind.simpleString()
+        if name.startswith("decimal"):
+            return c
+        value_type = "decimal(28,0)" if name in ("tinyint", "smallint", "int", "bigint") else "decimal(28,10)"
+    return c.cast(value_type)
 
 
 def epoch_seconds(ts) -> Column:

@@ -12,15 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import hash_ip
+from kestrel.sources.readers import read_if_there
 
 HASH_MAP_SCHEMA = "hash_ip_addr string, ip string, source_date date"
 
 
 def read_hash_map(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(HASH_MAP_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no map written yet
-        return spark.createDataFrame([], HASH_MAP_SCHEMA)
+    found = read_if_there(spark, path, HASH_MAP_SCHEMA)
+    return spark.createDataFrame([], HASH_MAP_SCHEMA) if found is None else found
 
 
 def upkeep_hash_map(spark: SparkSession, ips: DataFrame, path: str, salt: str = "") -> DataFrame:

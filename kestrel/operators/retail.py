@@ -61,18 +61,14 @@ def revenue_per_day(orders: DataFrame, items: DataFrame, statuses=("F", "O"), *,
 def category_stats(products: DataFrame, price_below: float, *, category="p_type",
                    product_id="p_partkey", price="p_retailprice") -> DataFrame:
     """FLT-08 + AGG-02 + MTH-02: per category of products cheaper than
-    ``price_below``: max, min, average price as decimal(10,2) (half-up,
-    computed in integer cents), distinct product count."""
-    cents = F.round(F.col(price) * 100).cast("bigint")
+    ``price_below``: max, min, average price as decimal(10,2) (decimal
+    average, rounded half up), distinct product count."""
     g = (products.filter(F.col(price) < F.lit(price_below))
          .groupBy(F.col(category).alias("category"))
          .agg(F.max(price).alias("max_price"), F.min(price).alias("min_price"),
-              F.sum(cents).alias("_c"), F.count(price).alias("_n"),
+              F.avg(money(price)).cast("decimal(10,2)").cast("double").alias("avg_price"),
               F.count_distinct(product_id).alias("total_products")))
-    avg_cents = F.floor((F.col("_c") * 2 + F.col("_n")) / (F.col("_n") * 2))
-    return g.select("category", "max_price", "min_price",
-                    (avg_cents.cast("decimal(12,0)") / 100).cast("decimal(10,2)").cast("double").alias("avg_price"),
-                    "total_products")
+    return g.select("category", "max_price", "min_price", "avg_price", "total_products")
 
 
 def category_avg(products: DataFrame, *, category="p_type", price="p_retailprice") -> DataFrame:
@@ -144,7 +140,8 @@ def pair_sum_members(df: DataFrame, group: str, value: str, target) -> DataFrame
     is ever built.
     """
     vals = df.select(F.col(group).alias("_g"), F.col(value).alias("_v")).distinct()
-    cond = (df[group] == vals["_g"]) & ((F.lit(target) - df[value]) == vals["_v"])
+    # compared as decimals: 50 - 49.9 is not 0.1 in doubles
+    cond = df[group].eqNullSafe(vals["_g"]) & ((F.lit(target).cast("decimal(28,10)") - df[value].cast("decimal(28,10)")) == vals["_v"].cast("decimal(28,10)"))
     return df.join(vals, cond, "left_semi")
 
 
@@ -168,9 +165,3 @@ def latest_partition(df: DataFrame, date_col: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows_on_latest"))
     return daily.orderBy(F.desc("latest_date")).limit(1)
 
-
-def money_total(df: DataFrame, amount: str) -> DataFrame:
-    return df.groupBy().agg(money_sum(amount).cast("double").alias("total"))
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("F", "Window", "DataFrame", "money", "money_sum", "annotations")]

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import epoch_seconds
+from kestrel.operators.windows import join_back
 
 
 def assign_sessions(df: DataFrame, user: str = "user_id", ts: str = "ts",
@@ -47,7 +48,7 @@ def assign_sessions(df: DataFrame, user: str = "user_id", ts: str = "ts",
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.withColumn(
         "_carried", F.coalesce(F.sum(F.col("_flags") + F.col("_first_flag")).over(before), F.lit(0)))
-    j = inner.join(chunks, ["user_id", "_c"])
+    j = join_back(inner, chunks, ["user_id", "_c"])
     gap = F.coalesce(F.col("_t") - F.col("_prev"), F.col("_t") - F.col("_prev_last"), F.lit(0)).cast("bigint")
     n = (F.col("_carried") + F.col("_first_flag") + F.col("_run")).cast("bigint")
     return j.select(

@@ -10,7 +10,8 @@ row needs from outside its chunk (the neighbour rows at chunk borders,
 the totals of earlier chunks) comes from a per-(key, chunk) table that has
 one row per chunk: it is built by map-side combined aggregation and
 windowed per key, so its size grows with the number of chunks (days),
-not with the rows. The result is exactly the plain window's result.
+not with the rows. The chunk table is joined back null-safely, so rows with a
+null key or a null order value stay, as in the plain window.
 """
 
 from __future__ import annotations
@@ -18,17 +19,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.functions.scalars import money
+from kestrel.functions.scalars import exact
 
 
 def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
+def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of rows with a one-row-per-key table; null keys are keys like any other."""
+    named = per_key.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in per_key.columns if c not in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(named, cond).drop(*[f"_k_{k}" for k in keys])
+
+
 def centered_moving_avg(df: DataFrame, keys, order: str, tie: str, measures,
-                        chunk: Column | None = None, suffix: str = "_ma") -> DataFrame:
+                        chunk: Column | None = None, suffix: str = "_ma", value_type: str | None = None) -> DataFrame:
     """WIN-01: average of the previous, current and next row per key
-    (``rowsBetween(-1, 1)``), for each measure. Sums are exact (decimal).
+    (``rowsBetween(-1, 1)``), for each measure. Sums are exact in
+    ``value_type`` (see ``scalars.exact``).
     """
     keys = _cols(keys)
     measures = _cols(measures)
@@ -48,14 +59,13 @@ def centered_moving_avg(df: DataFrame, keys, order: str, tie: str, measures,
     wc = Window.partitionBy(*keys).orderBy("_c")
     chunks = chunks.select(*keys, "_c", F.lag("_cl").over(wc).alias("_prev_last"),
                            F.lead("_cf").over(wc).alias("_next_first"))
-    j = inner.join(chunks, [*keys, "_c"])
-    out = j
+    out = join_back(inner, chunks, [*keys, "_c"])
     for m in measures:
         prev = F.when(F.col("_first"), F.col("_prev_last")[m]).otherwise(F.col(f"_p_{m}"))
         nxt = F.when(F.col("_last"), F.col("_next_first")[m]).otherwise(F.col(f"_n_{m}"))
         trio = [prev, F.col(m), nxt]
-        total = sum((F.coalesce(money(x), F.lit(0).cast("decimal(18,2)")) for x in trio[1:]),
-                    F.coalesce(money(trio[0]), F.lit(0).cast("decimal(18,2)")))
+        trio_exact = [F.coalesce(exact(x, df.schema[m].dataType, value_type), F.lit(0)) for x in trio]
+        total = trio_exact[0] + trio_exact[1] + trio_exact[2]
         n = sum((x.isNotNull().cast("int") for x in trio[1:]), trio[0].isNotNull().cast("int"))
         out = out.withColumn(m + suffix, F.when(n > 0, total.cast("double") / n.cast("double")))
     drop = ["_c", "_first", "_last", "_prev_last", "_next_first"]
@@ -64,7 +74,7 @@ def centered_moving_avg(df: DataFrame, keys, order: str, tie: str, measures,
 
 
 def running_avg(df: DataFrame, keys, order: Column, measures, chunk: Column,
-                suffix: str = "_avg") -> DataFrame:
+                suffix: str = "_avg", value_type: str | None = None) -> DataFrame:
     """WIN-02: average from the first row of the key up to the current row
     and its peers (the default RANGE frame of an ordered window).
 
@@ -78,9 +88,9 @@ def running_avg(df: DataFrame, keys, order: Column, measures, chunk: Column,
     inner = base
     aggs = []
     for m in measures:
-        inner = (inner.withColumn(f"_s_{m}", F.sum(money(m)).over(w))
+        inner = (inner.withColumn(f"_s_{m}", F.sum(exact(F.col(m), df.schema[m].dataType, value_type)).over(w))
                  .withColumn(f"_k_{m}", F.count(m).over(w)))
-        aggs += [F.sum(money(m)).alias(f"_cs_{m}"), F.count(m).alias(f"_ck_{m}")]
+        aggs += [F.sum(exact(F.col(m), df.schema[m].dataType, value_type)).alias(f"_cs_{m}"), F.count(m).alias(f"_ck_{m}")]
     chunks = base.groupBy(*keys, "_c").agg(*aggs)
     before = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     sel = [*keys, "_c"]
@@ -88,7 +98,7 @@ def running_avg(df: DataFrame, keys, order: Column, measures, chunk: Column,
         sel += [F.coalesce(F.sum(f"_cs_{m}").over(before), F.lit(0)).alias(f"_bs_{m}"),
                 F.coalesce(F.sum(f"_ck_{m}").over(before), F.lit(0)).alias(f"_bk_{m}")]
     chunks = chunks.select(*sel)
-    out = inner.join(chunks, [*keys, "_c"])
+    out = join_back(inner, chunks, [*keys, "_c"])
     drop = ["_o", "_c"]
     for m in measures:
         s = F.coalesce(F.col(f"_s_{m}"), F.lit(0)) + F.col(f"_bs_{m}")
@@ -100,11 +110,11 @@ def running_avg(df: DataFrame, keys, order: Column, measures, chunk: Column,
 
 def group_avg_rows(df: DataFrame, group: str, value: str, alias: str) -> DataFrame:
     """WIN-03: the whole-group average attached to every row (order key =
-    partition key, so every row is a peer). Written as aggregate + join:
-    the aggregate combines map-side and the join key spreads the rows,
-    unlike an unordered window that puts a group in one task."""
+    partition key, so every row is a peer). Written as aggregate + join: the
+    aggregate combines map-side and has one row per group; Spark broadcasts it
+    while it is small. Rows of a null group get that group's average."""
     g = df.groupBy(group).agg((F.sum(value).cast("double") / F.count(value)).alias(alias))
-    return df.join(g, group)
+    return join_back(df, g, [group])
 
 
 def latest_per_key(df: DataFrame, key: str, order_cols, cols=None) -> DataFrame:
@@ -131,19 +141,20 @@ def suffix_max(df: DataFrame, group: str, order: str, value: str, tie: str | Non
     runs per (group, chunk) and the maximum of all later chunks comes from
     a one-row-per-chunk table, so a huge group is spread over its chunks.
     """
-    ords = [order] + ([tie] if tie else [])
+    # the later rows are the rows before in descending order: a frame that only grows costs one step a row
+    ords = [F.col(c).desc() for c in [order] + ([tie] if tie else [])]
     if chunk is None:
-        w = Window.partitionBy(group).orderBy(*ords).rowsBetween(1, Window.unboundedFollowing)
+        w = Window.partitionBy(group).orderBy(*ords).rowsBetween(Window.unboundedPreceding, -1)
         later = F.max(value).over(w)
         return df.withColumn(alias, F.when(later.isNull() | (F.col(value) > later), F.lit(-1))
                              .otherwise(later))
     base = df.withColumn("_c", chunk)
-    w = Window.partitionBy(group, "_c").orderBy(*ords).rowsBetween(1, Window.unboundedFollowing)
+    w = Window.partitionBy(group, "_c").orderBy(*ords).rowsBetween(Window.unboundedPreceding, -1)
     inner = base.withColumn("_in", F.max(value).over(w))
-    after = Window.partitionBy(group).orderBy("_c").rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(group).orderBy(F.col("_c").desc()).rowsBetween(Window.unboundedPreceding, -1)
     chunks = (base.groupBy(group, "_c").agg(F.max(value).alias("_cm"))
               .select(group, "_c", F.max("_cm").over(after).alias("_out")))
-    j = inner.join(chunks, [group, "_c"])
+    j = join_back(inner, chunks, [group, "_c"])
     later = F.greatest(F.col("_in"), F.col("_out"))
     return (j.withColumn(alias, F.when(later.isNull() | (F.col(value) > later), F.lit(-1)).otherwise(later))
             .drop("_c", "_in", "_out"))
@@ -154,16 +165,18 @@ def product_except_self(df: DataFrame, group: str, value: str, alias: str = "pro
 
     Per group one aggregate keeps the product of the non-zero values and the
     number of zeros (map-side combined, skew-safe); each row then divides
-    its own value out. Exact for integer values whose product stays below
-    2^53; zero handling follows the definition (one zero: only the zero's
-    row is non-zero; two or more: all zero).
+    its own value out. The product is held as a double: where the group's product
+    of non-zero values reaches 2^53 the result is null, never a wrong number.
+    Zero handling follows the definition (one zero: only the zero's row is
+    non-zero; two or more: all zero). Null values take no part and give null.
     """
     v = F.col(value).cast("double")
     g = df.groupBy(group).agg(
         F.product(F.when(v != 0, v).otherwise(F.lit(1.0))).alias("_pnz"),
         F.sum((v == 0).cast("int")).alias("_z"))
-    j = df.join(g, group)
+    j = join_back(df, g, [group])
     res = (F.when(F.col("_z") >= 2, F.lit(0.0))
            .when(F.col("_z") == 1, F.when(v == 0, F.col("_pnz")).otherwise(F.lit(0.0)))
            .otherwise(F.col("_pnz") / v))
-    return j.withColumn(alias, res.cast("bigint")).drop("_pnz", "_z")
+    exact_ = (F.abs("_pnz") < F.lit(2.0 ** 53)) | (res == 0)
+    return j.withColumn(alias, F.when(exact_, res).cast("bigint")).drop("_pnz", "_z")

@@ -25,7 +25,7 @@ WITH recipes AS (
          p_size + p_partkey % 40 AS m
   FROM part),
 classed AS (
-  SELECT CASE WHEN m < 30 THEN 'easy' WHEN m BETWEEN 30 AND 60 THEN 'medium' WHEN m > 60 THEN 'hard' END AS difficulty, m
+  SELECT (['easy', 'medium', 'hard'])[1 + CAST(m >= 30 AS INTEGER) + CAST(m > 60 AS INTEGER)] AS difficulty, m
   FROM recipes WHERE lower(ingredients) LIKE '%widget%')
 """
 

@@ -191,14 +191,17 @@ master AS (
          ' ' || n.n_name || ' ' AS standard_city, r.r_name AS standard_state, 'u' || CAST(c.c_custkey AS VARCHAR) AS plain_uhid
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
   WHERE c.c_mktsegment <> 'AUTOMOBILE'),
+wanted AS (
+  SELECT *, list_transform([std_delivery_line_1, std_delivery_line_2, std_zipcode, std_city, std_state],
+                           lambda f: nullif(trim(f), '')) AS place
+  FROM routed WHERE reason IS NULL),
+known AS (
+  SELECT plain_uhid, list_transform([standard_delivery_line_1, standard_delivery_line_2, standard_zipcode, standard_city, standard_state],
+                                    lambda f: nullif(trim(f), '')) AS place
+  FROM master),
 matched AS (
-  SELECT a.*, COALESCE(b.plain_uhid, '-1') AS uhid
-  FROM (SELECT * FROM routed WHERE reason IS NULL) a LEFT JOIN master b
-    ON COALESCE(trim(a.std_delivery_line_1), '') = COALESCE(trim(b.standard_delivery_line_1), '')
-   AND COALESCE(trim(a.std_delivery_line_2), '') = COALESCE(trim(b.standard_delivery_line_2), '')
-   AND COALESCE(trim(a.std_zipcode), '') = COALESCE(trim(b.standard_zipcode), '')
-   AND COALESCE(trim(a.std_city), '') = COALESCE(trim(b.standard_city), '')
-   AND COALESCE(trim(a.std_state), '') = COALESCE(trim(b.standard_state), '')),
+  SELECT wanted.* EXCLUDE (place), COALESCE(known.plain_uhid, '-1') AS uhid
+  FROM wanted LEFT JOIN known ON wanted.place IS NOT DISTINCT FROM known.place),
 numap AS (SELECT 'n' || CAST(c_custkey AS VARCHAR) AS nu_uhid, 'u' || CAST(c_custkey AS VARCHAR) AS uhid
           FROM customer WHERE c_acctbal > 1000),
 inward AS (SELECT 'n' || CAST(o_custkey AS VARCHAR) AS custid, CASE WHEN o_orderstatus = 'O' THEN 'Y' ELSE 'N' END AS dsp_flag

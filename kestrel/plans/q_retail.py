@@ -178,11 +178,16 @@ def join_pair_sum(spark, sf):
         "partner", F.lit(50.0) - F.col("l_quantity"))
 
 
-@query("partition_row_counts")
+@query("partition_row_counts", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS mismatches FROM customer
+""")
 def partition_row_counts(spark, sf):
     """AGG-17 + PRT-04 + PRJ-03 + JON-07: rows per physical partition after a
-    hash repartition, attached to every row. Partition ids are physical, so
-    only the row count is checked; the count table has one row per
-    partition, which bounds the broadcast."""
+    hash repartition, attached to every row; the query reports all rows and
+    the partitions whose attached count is not what a second count finds. The
+    number of partitions is the session's."""
     from kestrel.operators.quality import rows_per_partition
-    return rows_per_partition(Tables(spark, sf).customer.select("c_custkey", "c_name"), 8, "c_custkey")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows_per_partition(Tables(spark, sf).customer.select("c_custkey", "c_name"), n, "c_custkey")
+    per = rows.groupBy("partition_id", "partition_rows").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.sum("n").alias("n_rows"), F.sum((F.col("n") != F.col("partition_rows")).cast("bigint")).alias("mismatches"))

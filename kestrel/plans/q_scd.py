@@ -67,11 +67,12 @@ def updates(t: Tables):
 
 
 @query("scd2_staged_updates", STAGE_SQL + """
-SELECT updates.customerId AS mergeKey, updates.* FROM upd AS updates
-UNION ALL
-SELECT NULL AS mergeKey, updates.* FROM upd AS updates JOIN dim AS customers
-  ON updates.customerId = customers.customerId
-WHERE customers.current = true AND updates.address <> customers.address
+, flagged AS (
+  SELECT u.customerId, u.address, u.effectiveDate,
+         (SELECT count(*) FROM dim d WHERE d.customerId = u.customerId AND d.current AND d.address <> u.address) AS changed
+  FROM upd u)
+SELECT CASE WHEN copy = 0 THEN customerId END AS mergeKey, customerId, address, effectiveDate
+FROM (SELECT customerId, address, effectiveDate, unnest(range(0, 1 + changed)) AS copy FROM flagged)
 """)
 def scd2_staged_updates(spark, sf):
     t = Tables(spark, sf)

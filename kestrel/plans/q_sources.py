@@ -66,15 +66,23 @@ def src_sequencefile(spark, sf):
 GEN_BASE = dt.datetime(2020, 1, 1)
 
 
-@query("gen_user_activity")
+@query("gen_user_activity", f"""
+SELECT CAST(1 + CAST('0x' || substr(h, 1, 7) AS BIGINT) % 250 AS INTEGER) AS user_id,
+       TIMESTAMP '{GEN_BASE}' + to_days(CAST(1 + CAST('0x' || substr(h, 8, 7) AS BIGINT) % 301 AS INTEGER)) AS created_at
+FROM (SELECT md5(CAST(o_orderkey AS VARCHAR)) AS h FROM orders)
+""")
 def gen_user_activity(spark, sf):
-    """SRC-15 / DAT-07 / MTH-04: one random activity row per order: user id
-    uniformly in 1..250 and created_at = base + 1..301 days (rounded). The
-    row count grows with the orders table; values are random (seeded), so
-    only the row count is checked."""
+    """SRC-15 / DAT-07 / MTH-04: one activity row per order: user id in
+    1..250 and created_at = base + 1..301 days, both drawn from a hash of the
+    order key, so a recomputed task draws the same values."""
+    h = F.md5(F.col("o_orderkey").cast("string").cast("binary"))
+
+    def drawn(at: int, below: int):
+        return F.conv(F.substring(h, at, 7), 16, 10).cast("bigint") % below + 1
+
     o = Tables(spark, sf).orders.select("o_orderkey")
-    days = F.round(F.rand(7) * 300).cast("int") + 1
+    days = drawn(8, 301).cast("int")
     return o.select(
-        (F.floor(F.rand(3) * 250) + 1).cast("int").alias("user_id"),
+        drawn(1, 250).cast("int").alias("user_id"),
         (F.lit(GEN_BASE).cast("timestamp_ntz") + F.make_interval(F.lit(0), F.lit(0), F.lit(0), days))
         .alias("created_at"))

@@ -181,7 +181,7 @@ def stream_foreach_batch_upsert(spark, sf):
     count per user into a bucketed Parquet state table."""
     s = _events_stream(spark, sf, "upsert", False).select("user_id", "event_id", "ts", "event_type", "value")
     out = _drain_foreach(s, spark, "upsert",
-                         lambda p: streams.upsert_latest(p, "user_id", ["ts", "event_id"]), "append")
+                         lambda p: streams.upsert_latest(p, "user_id", ["ts", "event_id"], run_id=p), "append")
     return out.select("user_id", "event_id", "ts", "event_type", "value", "n_events")
 
 

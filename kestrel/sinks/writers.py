@@ -8,6 +8,7 @@ large output through ``coalesce(1)`` makes one task write all of it.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,10 +75,18 @@ def static_partition_overwrite(spark: SparkSession, table: str, spec: dict[str,
     replaces the partition, so the publish is idempotent.
     """
     cols = [f.name for f in spark.table(table).schema.fields if f.name not in spec]
-    view = f"_kestrel_src_{abs(hash((table, tuple(spec.items())))) % 10**8}"
+    view = f"_kestrel_src_{uuid.uuid4().hex}"
     df.select(*cols).createOrReplaceTempView(view)
-    part = ", ".join(f"{k} = '{v}'" for k, v in spec.items())
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({part}) SELECT {', '.join(cols)} FROM {view}")
+    part = ", ".join(f"{k} = {_literal(v)}" for k, v in spec.items())
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({part}) SELECT {', '.join(cols)} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def _literal(value) -> str:
+    """A SQL string literal of any text."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def insert_overwrite(df: DataFrame, table: str, distribute: bool = True) -> None:
@@ -91,8 +100,14 @@ def insert_overwrite(df: DataFrame, table: str, distribute: bool = True) -> None
     out = df.select(*cols)
     if distribute and parts:
         out = out.repartition(*parts)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out.write.insertInto(table, overwrite=True)
+    # insertInto takes the mode from the session only; the caller's setting comes back
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        out.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def append_into(df: DataFrame, table: str) -> None:

@@ -6,6 +6,7 @@ inference job over the input (SURVEY 1.3).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -68,3 +69,13 @@ def sequence_file(spark: SparkSession, path: str, key: str = "key", value: str =
     """SRC-12: a Hadoop SequenceFile of (key, value) pairs as a DataFrame.
     The only RDD use in the package: SequenceFiles have no DataFrame reader."""
     return spark.sparkContext.sequenceFile(path).toDF([key, value])
+
+
+def read_if_there(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The Parquet table at ``path``; None if nothing was written there yet. Any other read error is raised."""
+    try:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kestrel.operators.windows import latest_per_key
+from kestrel.sources.readers import read_if_there
 
 # A batch interval of one second, as the reference's jobs use (STM-01).
 DEFAULT_TRIGGER = "1 second"
@@ -120,7 +120,7 @@ def session_windows(stream: DataFrame, key: str, ts: str, gap_seconds: int, dela
     return g.select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n_events")
 
 
-def upsert_latest(state_path: str, key: str, order_cols: list[str], buckets: int = 64,
+def upsert_latest(state_path: str, key: str, order_cols: list[str], buckets: int = 64, run_id: str = "",
                   ) -> Callable[[DataFrame, int], None]:
     """STM-08: ``foreachBatch`` upsert of "latest row and running count per
     key" into a Parquet state table partitioned by key bucket.
@@ -128,28 +128,28 @@ def upsert_latest(state_path: str, key: str, order_cols: list[str], buckets: int
     Only the buckets a batch touches are read, merged and rewritten
     (dynamic partition overwrite). The merged rows are checkpointed to the
     shared folder first, because Spark cannot overwrite files it is still
-    reading. Replaying a batch after a failure writes the same buckets again
-    from the batch's own rows only if the state was not yet updated, so
-    the batch id is stored with the state and a replayed batch is skipped.
+    reading. Each bucket holds the batch id and the ``run_id`` (one per stream
+    checkpoint) that wrote it last: a replayed batch skips the buckets that
+    have it and writes those that a crash left out; another run starts its
+    batch ids anew. Null keys are a key like any other.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = (batch.withColumn("_bucket", F.pmod(F.hash(F.col(key)), F.lit(buckets)))
-             .withColumn("n_events", F.lit(1).cast("bigint")))
-        try:
-            old = spark.read.parquet(state_path)
-            done = old.agg(F.max("_batch")).first()[0]  # one-row aggregate
-            if done is not None and done >= batch_id:
-                return
-            touched = b.select("_bucket").distinct()
-            old = old.join(touched, "_bucket", "left_semi").drop("_batch")
-            rows = old.unionByName(b.select(*old.columns))
-        except Exception:  # noqa: BLE001 - first batch: no state yet
-            rows = b
+        rows = (batch.withColumn("_bucket", F.pmod(F.hash(F.col(key)), F.lit(buckets)))
+                .withColumn("n_events", F.lit(1).cast("bigint")))
+        old = read_if_there(spark, state_path)
+        if old is not None:
+            # one row for each bucket
+            done = old.where((F.col("_run") == run_id) & (F.col("_batch") >= batch_id)).select("_bucket").distinct()
+            rows = rows.join(done, "_bucket", "left_anti")
+            touched = rows.select("_bucket").distinct()
+            old = old.join(touched, "_bucket", "left_semi").drop("_batch", "_run")
+            rows = old.unionByName(rows.select(*old.columns))
         cols = [c for c in rows.columns if c not in (key, "n_events")]
-        counts = rows.groupBy(key).agg(F.sum("n_events").alias("n_events"))
-        latest = latest_per_key(rows.drop("n_events"), key, order_cols, cols)
-        merged = latest.join(counts, key).withColumn("_batch", F.lit(batch_id)).checkpoint(eager=True)
+        best = F.max_by(F.struct(*cols), F.struct(*[F.col(c) for c in order_cols]))
+        merged = rows.groupBy(key).agg(best.alias("_r"), F.sum("n_events").alias("n_events"))
+        merged = merged.select(key, *[F.col("_r")[c].alias(c) for c in cols], "n_events", F.lit(batch_id).alias("_batch"), F.lit(run_id).alias("_run"))
+        merged = merged.checkpoint(eager=True)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_bucket").parquet(state_path))
     return run
