@@ -78,24 +78,28 @@ FROM events
 WINDOW w AS (PARTITION BY CAST(ts AS DATE), event_type, user_id ORDER BY ts, event_id
              ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)""")
 def stream_file_arrival(spark, sf):
-    """SRC-16 / STM-12 / PIP-14: daily files arrive in a folder named by the
-    day (MM-dd-yyyy); each micro-batch takes the new files, reads the day
-    from the file path, computes the 3-row moving average within each
-    file, and overwrites that day's output partition."""
+    """SRC-16 / STM-12 / PIP-14: files arrive in a folder named by the day
+    (MM-dd-yyyy), two a day here; each micro-batch takes the new files, reads
+    the days from their paths, computes the 3-row moving average over all files
+    that the touched days have so far, and overwrites those days' output
+    partitions. So a later file of a day adds to it and does not replace it."""
     ev = Tables(spark, sf).events
     src = scratch_path(spark, "arrival-in")
-    (ev.withColumn("arrival", F.date_format("ts", "MM-dd-yyyy")).repartition("arrival")
+    (ev.withColumn("arrival", F.date_format("ts", "MM-dd-yyyy")).repartition("arrival", F.col("event_id") % 2)
      .write.mode("overwrite").partitionBy("arrival").parquet(src))
-    s = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 8)
+    s = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 16)
          .option("recursiveFileLookup", "true").parquet(src))
     day = F.regexp_extract(F.input_file_name(), r"arrival=([0-9]{2}-[0-9]{2}-[0-9]{4})", 1)
     s = s.withColumn("file_day", F.to_date(day, "MM-dd-yyyy"))
 
     def fn_of_path(out: str):
         def run(batch: DataFrame, _batch_id: int) -> None:
-            b = batch.select("event_id", "event_type", "user_id", "ts", "value", "file_day")
+            days = batch.select(F.date_format("file_day", "MM-dd-yyyy").alias("arrival"), "file_day").distinct()
+            # one row for each touched day; the folders of other days are pruned
+            b = batch.sparkSession.read.parquet(src).join(F.broadcast(days), "arrival")
+            b = b.select("event_id", "event_type", "user_id", "ts", "value", "file_day")
             ma = windows.centered_moving_avg(b, ["file_day", "event_type", "user_id"], "ts", "event_id", ["value"])
-            (ma.repartition("file_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (ma.hint("rebalance", "file_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("file_day").parquet(out))
         return run
 
