@@ -52,9 +52,11 @@ def start(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str =
     return w.format(fmt).option("path", path).start()
 
 
-def run_until_drained(q: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query; fail loudly on error or timeout."""
-    if not q.awaitTermination(timeout_s):
+def run_until_drained(q: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query, without a limit unless one is given; fail loudly on error or timeout."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
     if q.exception() is not None:
