@@ -6,8 +6,9 @@ what it computes: a new version of the dimension,
     untouched rows  ∪  closed rows  ∪  new current rows of changed keys
                     ∪  rows of keys the dimension has never seen
 
-Everything joins on the business key, so all steps share one hash
-partitioning of the key; the changed-key set is at most one row per key.
+The merge is one full outer join on the business key: every row of it becomes
+one row of the new version, or two where a current row closes and its
+successor opens. The dimension and the updates are each read once.
 The MERGE's matching rule is kept: a key matches if *any* dimension row has
 it, so a key whose rows are all closed is neither updated nor inserted
 (Q23), and a NULL value never counts as a change unless ``null_safe``.
@@ -15,7 +16,7 @@ it, so a key whose rows are all closed is neither updated nor inserted
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,20 +44,26 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, key: str = "customerId", valu
 
     ``updates`` holds at most one row per key (as a MERGE source must).
     """
-    changed = _changed(dim, updates, key, value, current, null_safe)
-    ch = changed.select(F.col(key).alias("_ck"), F.col(effective).alias("_ceff"))
-    d = dim.join(ch, dim[key] == ch["_ck"], "left")
-    closing = F.col(current) & F.col("_ck").isNotNull()
-    kept = d.select(
-        *[F.when(closing, F.lit(False)).otherwise(F.col(current)).alias(c) if c == current
-          else F.when(closing, F.col("_ceff")).otherwise(F.col(end)).alias(c) if c == end
-          else F.col(c) for c in dim.columns])
-    new_rows = changed.unionByName(updates.join(dim.select(key).distinct(), key, "left_anti"))
-    inserted = new_rows.select(
-        *[F.lit(True).alias(c) if c == current
-          else F.lit(None).cast(dim.schema[end].dataType).alias(c) if c == end
-          else F.col(c).cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
-    return kept.unionByName(inserted)
+    types = {f.name: f.dataType for f in dim.schema.fields}
+    old = dim.select(F.struct(*dim.columns).alias("_d"), F.col(key).alias("_dk"))
+    sent = updates.select(F.struct(*updates.columns).alias("_u"), F.col(key).alias("_uk"))
+    both = old.join(sent, F.col("_dk") == F.col("_uk"), "full_outer")
+    was, now = F.col("_d")[value], F.col("_u")[value]
+    differs = ~was.eqNullSafe(now) if null_safe else was != now
+    met = F.col("_d").isNotNull() & F.col("_u").isNotNull()
+    closing = F.coalesce(met & F.col("_d")[current] & differs, F.lit(False))
+
+    def version(of: dict) -> Column:
+        return F.struct(*[of[c].cast(types[c]).alias(c) for c in dim.columns])
+
+    kept = {c: F.col("_d")[c] for c in dim.columns}
+    closed = kept | {current: F.lit(False), end: F.col("_u")[effective]}
+    fresh = {c: F.col("_u")[c] for c in dim.columns if c in updates.columns}
+    opened = {c: F.lit(None) for c in dim.columns} | fresh | {current: F.lit(True), end: F.lit(None)}
+    rows = (F.when(F.col("_d").isNull(), F.array(version(opened)))
+            .when(closing, F.array(version(closed), version(opened)))
+            .otherwise(F.array(version(kept))))
+    return both.select(F.inline(rows))
 
 
 def current_rows_check(dim: DataFrame, key: str = "customerId", current: str = "current") -> DataFrame:
