@@ -32,7 +32,7 @@ def upkeep_hash_map(spark: SparkSession, ips: DataFrame, path: str, salt: str =
     todo = ips.join(have, "source_date", "left_anti").select("ip", "source_date").distinct()
     if not todo.isEmpty():
         (todo.select(hash_ip("ip", salt).alias("hash_ip_addr"), "ip", "source_date")
-         .repartition("source_date")
+         .hint("rebalance", "source_date")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("source_date").parquet(path))
     return read_hash_map(spark, path)
@@ -66,7 +66,7 @@ def write_extract(df: DataFrame, base: str, kind: str, files: int | None = None)
     file. ``files`` caps the file count per task set (1 = single file, only
     for small extracts)."""
     path = f"{base}/{kind}"
-    out = df.coalesce(files) if files else df
+    out = df.coalesce(files) if files else df.hint("rebalance", "file_name")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "gzip").option("header", False).partitionBy("file_name").csv(path))
     return path

@@ -46,14 +46,22 @@ def write(df: DataFrame, conf: SinkConfig) -> str:
     return conf.path
 
 
+def gathered(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows brought together by ``cols`` for a write. A rebalance, not a plain
+    hash exchange: AQE joins small pieces and splits a value that holds more
+    than the advisory partition size, so a hot partition has several writers."""
+    return df.hint("rebalance", *cols)
+
+
 def dynamic_partition_overwrite(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "parquet",
                                 distribute: bool = True) -> str:
     """SNK-02 / SNK-03 / PRT-03: replace only the partitions present in ``df``.
 
-    ``distribute`` hashes rows by the partition columns first (DISTRIBUTE BY),
-    so each partition directory is written by one task, not by all of them.
+    ``distribute`` gathers rows by the partition columns first, so not every
+    task writes into every directory; a large partition is split over several
+    tasks (:func:`gathered`).
     """
-    out = df.repartition(*partition_cols) if distribute else df
+    out = gathered(df, partition_cols) if distribute else df
     (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).save(path))
     return path
@@ -92,14 +100,14 @@ def _literal(value) -> str:
 def insert_overwrite(df: DataFrame, table: str, distribute: bool = True) -> None:
     """SNK-03 / PRT-03: INSERT OVERWRITE TABLE with dynamic partitions: only
     the partitions present in ``df`` are replaced. Columns go in by name;
-    ``distribute`` hashes rows by the partition columns first, so each
-    partition directory is written by one task."""
+    ``distribute`` gathers rows by the partition columns first
+    (:func:`gathered`)."""
     spark = df.sparkSession
     cols = [f.name for f in spark.table(table).schema.fields]
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     out = df.select(*cols)
     if distribute and parts:
-        out = out.repartition(*parts)
+        out = gathered(out, parts)
     # insertInto takes the mode from the session only; the caller's setting comes back
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
