@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.operators import windows
+from kestrel.operators import retail, windows
 from kestrel.plans.registry import query
 from kestrel.session import scratch_path
 from kestrel.sources.tables import Tables
@@ -154,14 +154,16 @@ def stream_sliding_word_counts(spark, sf):
 
 
 TAG_WIDTH = "10 minutes"
+TOP_TAGS = 10
 
-
-@query("stream_tumbling_tag_counts", """
-WITH m AS (SELECT ts, 'saw #' || event_type || ' by u' || CAST(user_id AS VARCHAR) AS text FROM events),
-t AS (SELECT ts, unnest(string_split(text, ' ')) AS tag FROM m)
+TAG_COUNTS_SQL = """
 SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start,
        time_bucket(INTERVAL '10 minutes', ts) + INTERVAL 10 MINUTE AS window_end, tag, CAST(count(*) AS BIGINT) AS count
-FROM t WHERE starts_with(tag, '#') GROUP BY 1, 2, 3""")
+FROM (SELECT ts, unnest(string_split('saw #' || event_type || ' by u' || CAST(user_id AS VARCHAR), ' ')) AS tag FROM events)
+WHERE starts_with(tag, '#') GROUP BY 1, 2, 3"""
+
+
+@query("stream_tumbling_tag_counts", TAG_COUNTS_SQL)
 def stream_tumbling_tag_counts(spark, sf):
     """STM-06 / FLT-06 / STR-07: hashtags of message text counted per
     tumbling window (width is a parameter)."""
@@ -175,6 +177,19 @@ def stream_tumbling_tag_counts(spark, sf):
                                                                   "count")
 
 
+@query("stream_top_tags", f"""
+SELECT window_start, window_end, tag, count, rank
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY count DESC, tag) AS INTEGER) AS rank
+      FROM ({TAG_COUNTS_SQL}))
+WHERE rank <= {TOP_TAGS}""")
+def stream_top_tags(spark, sf):
+    """STM-07 / SRT-03: the most frequent hashtags of each tumbling window,
+    ranked by count, ties by name (``TOP_TAGS`` of them: a top-k report). A
+    stream in append mode cannot sort, so the closed windows are ranked as
+    the sink holds them."""
+    return retail.top_n_per_group(stream_tumbling_tag_counts(spark, sf), "window_start", "count", TOP_TAGS, "tag")
+
+
 @query("stream_foreach_batch_upsert", """
 SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts,
        arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value,
