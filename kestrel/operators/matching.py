@@ -104,8 +104,8 @@ def standardize_batches(df: DataFrame, standardizer: Callable[[pd.DataFrame], pd
 
     ``mapInPandas`` streams each partition in Arrow batches and cuts them
     into calls of ``batch_size`` rows; the iterator knows where a partition
-    ends, so no per-partition row count is needed. A call that raises
-    marks its rows with ``std_error`` (they become rejects, Q30) instead of
+    ends, so no per-partition row count is needed. A call that raises or
+    answers with another number of rows marks its rows with ``std_error`` (they become rejects, Q30) instead of
     losing them.
     """
     fields = list(df.schema.fields) + [StructField(c, StringType()) for c in STD_FIELDS] + \
@@ -119,6 +119,8 @@ def standardize_batches(df: DataFrame, standardizer: Callable[[pd.DataFrame], pd
                 chunk = pdf.iloc[lo:lo + batch_size]
                 try:
                     res = standardizer(chunk[list(INPUT_FIELDS)].reset_index(drop=True))
+                    if len(res) != len(chunk):
+                        raise ValueError(f"{len(res)} replies to {len(chunk)} addresses")
                     res = res[list(STD_FIELDS)].astype(object).where(res[list(STD_FIELDS)].notna(), None)
                     res["std_error"] = None
                 except Exception:  # noqa: BLE001 - any failure of the service call
@@ -172,20 +174,29 @@ def identity_chain(uhids: DataFrame, nu_map: DataFrame, inward: DataFrame, ap_ma
     ``uhids`` holds the distinct ids with their context columns. The latest
     IP per customer id is a ``max_by`` aggregate (one row per key, combined
     map-side) before it is joined, so a customer id with a huge history
-    costs one row in the join.
+    costs one row in the join. Misses become '0' at the end only: until then
+    they have no key, match nothing, and are spread over the tasks by their
+    own id (:func:`_left_by_key`).
     """
-    a = uhids.join(nu_map.select("uhid", "nu_uhid"), "uhid", "left").withColumn(
-        "nu_uhid", F.coalesce(F.col("nu_uhid"), F.lit("0")))
+    a = uhids.join(nu_map.select("uhid", "nu_uhid"), "uhid", "left")
     active = inward.filter(F.col("dsp_flag") == "Y").select(F.col("custid")).distinct()
-    b = a.join(active, a["nu_uhid"] == active["custid"], "left").withColumn(
-        "nu_uhid", F.coalesce(F.col("custid"), F.lit("0"))).drop("custid")
-    c = b.join(ap_map.select("uhid", "cuhid"), "uhid", "left").withColumn(
-        "cuhid", F.coalesce(F.col("cuhid"), F.lit("0")))
+    b = _left_by_key(a, "nu_uhid", active, "custid").withColumn("nu_uhid", F.col("custid")).drop("custid")
+    c = b.join(ap_map.select("uhid", "cuhid"), "uhid", "left")
     latest = latest_per_key(isp_map, "cuhid", ["dtm_last_modified", "ip_addr"], ["ip_addr"])
-    d = c.join(latest, "cuhid", "left").withColumn("ip_addr", F.coalesce(F.col("ip_addr"), F.lit("0")))
+    d = _left_by_key(c, "cuhid", latest.withColumnRenamed("cuhid", "_known"), "_known").drop("_known")
+    for name in ("nu_uhid", "cuhid", "ip_addr"):
+        d = d.withColumn(name, F.coalesce(F.col(name), F.lit("0")))
     return d
 
 
+def _left_by_key(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """Left join whose keyless rows meet in no one task: in place of the null
+    key they carry a text made of their id, and the condition lets no row
+    without a key match."""
+    placed = left.withColumn("_at", F.coalesce(F.col(key), F.concat_ws("", F.lit("\u0000"), F.col("uhid"))))
+    return placed.join(right, (placed["_at"] == right[right_key]) & placed[key].isNotNull(), "left").drop("_at")
+
+
 def assign_surrogate_keys(incoming: DataFrame, key_table: DataFrame, keys: Sequence[str],
                           id_col: str = "segment_id") -> DataFrame:
     """PIP-10 for many keys at once: a key already in ``key_table`` keeps its

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.scalars import decrypt_id, encrypt_id, hash_ip
 from kestrel.operators import extracts, matching
 from kestrel.plans.registry import query
-from kestrel.session import scratch_path
+from kestrel.session import scratch_path, shared_dir
 from kestrel.sinks import writers
 from kestrel.sources.tables import Tables
 
@@ -104,8 +104,8 @@ def routed(t: Tables) -> DataFrame:
     return matching.route_rejects(standardized(t))
 
 
-def matched(t: Tables) -> DataFrame:
-    valid = routed(t).filter(F.col("reason").isNull())
+def matched(t: Tables, rows: DataFrame | None = None) -> DataFrame:
+    valid = (routed(t) if rows is None else rows).filter(F.col("reason").isNull())
     return matching.match_addresses(valid, address_master(t), lambda c: decrypt_id(c, FIXTURE_KEY))
 
 
@@ -122,29 +122,42 @@ def identity(t: Tables) -> DataFrame:
     return chain(t, uh).select("segment_name", "advertiser_name", "file_name", "uhid", "nu_uhid", "cuhid", "ip_addr")
 
 
-def gold(t: Tables) -> DataFrame:
-    """The gold table rows, by name (Q31): segment id, ids, hashed ip."""
-    ident = identity(t)
-    keys = matching.assign_surrogate_keys(ident, ident.sparkSession.createDataFrame(
-        [], "segment_name string, advertiser_name string, segment_id bigint"), ["segment_name", "advertiser_name"])
+def gold(t: Tables, known: DataFrame | None = None) -> DataFrame:
+    """The gold table rows, by name (Q31): segment id, ids, hashed ip, load
+    time. Pairs of ``known`` (segment_name, advertiser_name, segment_id) keep
+    their id. The identity chain runs once: keys and rows both read its
+    checkpoint in the shared folder."""
+    spark = t.spark
+    shared_dir(spark)
+    ident = identity(t).checkpoint()
+    if known is None:
+        known = spark.createDataFrame([], "segment_name string, advertiser_name string, segment_id bigint")
+    keys = matching.assign_surrogate_keys(ident, known, ["segment_name", "advertiser_name"])
     g = ident.join(keys.drop("is_new"), ["segment_name", "advertiser_name"])
     hashed = F.when(F.col("ip_addr") == "0", F.lit("0")).otherwise(hash_ip("ip_addr", IP_SALT))
     return g.select("segment_id", "uhid", "nu_uhid", hashed.alias("hash_ip_addr"), "file_name",
-                    "segment_name", "advertiser_name")
+                    F.current_timestamp().alias("dtm_created"), "segment_name", "advertiser_name")
 
 
 GOLD_DDL = ("segment_id bigint, uhid string, nu_uhid string, hash_ip_addr string, file_name string, "
-            "segment_name string, advertiser_name string")
+            "dtm_created timestamp, segment_name string, advertiser_name string")
 
 
-def publish_gold(spark, t: Tables) -> str:
+def publish_gold(spark, t: Tables, table: str | None = None) -> str:
     """PIP-11 / SNK-03: the gold table partitioned by (segment, advertiser);
     every file's partition is replaced in one dynamic INSERT OVERWRITE, so
-    a rerun publishes the same rows again (idempotent). Returns its name."""
-    table = f"gold_{uuid.uuid4().hex[:10]}"
-    writers.create_partitioned_table(spark, table, GOLD_DDL, ["segment_name", "advertiser_name"],
-                                     scratch_path(spark, "gold"))
-    writers.insert_overwrite(gold(t), table)
+    a rerun publishes the same rows again. Pairs that ``table`` already holds
+    keep their segment id; without ``table`` a new one is made. Returns its
+    name."""
+    known = None
+    if table is None:
+        table = f"gold_{uuid.uuid4().hex[:10]}"
+        writers.create_partitioned_table(spark, table, GOLD_DDL, ["segment_name", "advertiser_name"],
+                                         scratch_path(spark, "gold"))
+    else:
+        shared_dir(spark)  # the ids are read before their partitions are replaced
+        known = spark.table(table).select("segment_name", "advertiser_name", "segment_id").distinct().checkpoint()
+    writers.insert_overwrite(gold(t, known), table)
     return table
 
 
@@ -315,16 +328,18 @@ def dq_reject_routing(spark, sf):
     cols = [F.col("input_street").alias("src_street"), F.col("input_zip").alias("src_zipcode"),
             F.col("input_city").alias("src_city"), F.col("input_state").alias("src_state"), "reason",
             "segment_name", "advertiser_name", "file_name"]
-    bad = routed(t).filter(F.col("reason").isNotNull()).select(*cols)
-    unmatched = (matched(t).filter(F.col("uhid") == "-1")
+    shared_dir(spark)
+    # standardised once: what is split below is what the shared folder holds
+    all_rows = routed(t).checkpoint()
+    bad = all_rows.filter(F.col("reason").isNotNull()).select(*cols)
+    unmatched = (matched(t, all_rows).filter(F.col("uhid") == "-1")
                  .withColumn("reason", F.lit(matching.REASON_NON_MATCHED)).select(*cols))
     table = f"rejects_{uuid.uuid4().hex[:10]}"
     writers.create_partitioned_table(
         spark, table, "src_street string, src_zipcode string, src_city string, src_state string, reason string, "
         "file_name string, dtm_created timestamp, segment_name string, advertiser_name string",
         ["segment_name", "advertiser_name"], scratch_path(spark, "rejects"))
-    for part in (bad, unmatched):
-        writers.append_into(part.withColumn("dtm_created", F.current_timestamp()), table)
+    writers.append_into(bad.unionByName(unmatched).withColumn("dtm_created", F.current_timestamp()), table)
     return spark.table(table).drop("dtm_created")
 
 
