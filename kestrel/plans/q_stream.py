@@ -1,9 +1,10 @@
 """Streaming queries. Each one stages its input table as several Parquet
 pieces (time-ordered ranges) in the shared folder, runs the stream with
 ``availableNow`` until it has drained them, and returns the sink's content.
-Windowed streams get a last "sentinel" piece with one event far in the
-future, written after the data: it moves the watermark past every real
-window so append mode emits them all; it is filtered out of the result.
+Windowed streams run twice from one checkpoint: first over all data, then over
+a "sentinel" piece with one event far in the future, which moves the watermark
+past every real window so append mode emits them all. The sentinel is told by
+its time, so no key of the data is filtered out.
 """
 
 from __future__ import annotations
@@ -40,11 +41,10 @@ def add_sentinel(spark: SparkSession, path: str) -> None:
     spark.createDataFrame(row, EVENTS_SCHEMA).write.mode("append").parquet(path)
 
 
-def _events_stream(spark, sf, name: str, sentinel: bool):
+def _events_stream(spark, sf, name: str):
+    """(the events as a stream, the folder it reads)"""
     src = stage(Tables(spark, sf).events, scratch_path(spark, f"{name}-in"), "ts")
-    if sentinel:
-        add_sentinel(spark, src)
-    return streams.file_stream(spark, src, EVENTS_SCHEMA)
+    return streams.file_stream(spark, src, EVENTS_SCHEMA), src
 
 
 def _drain_to_files(df: DataFrame, spark, name: str, mode: str = "append") -> DataFrame:
@@ -53,6 +53,15 @@ def _drain_to_files(df: DataFrame, spark, name: str, mode: str = "append") -> Da
     return spark.read.parquet(out)
 
 
+def _drain_windows(df: DataFrame, spark, name: str, src: str, begin: str) -> DataFrame:
+    """All windows of a windowed stream: the data to its end, then the sentinel in a run of its own."""
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    streams.run_until_drained(streams.start(df, ckpt, path=out))
+    add_sentinel(spark, src)
+    streams.run_until_drained(streams.start(df, ckpt, path=out))
+    return spark.read.parquet(out).filter(F.col(begin) < F.lit(SENTINEL_TS - dt.timedelta(days=1)))
+
+
 def _drain_foreach(df: DataFrame, spark, name: str, fn_of_path, mode: str) -> DataFrame:
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     streams.run_until_drained(streams.start(df, ckpt, mode=mode, foreach_batch=fn_of_path(out)))
@@ -66,7 +75,7 @@ def _ntz(c: str):
 @query("stream_passthrough", "SELECT event_id, ts, user_id, event_type FROM events")
 def stream_passthrough(spark, sf):
     """STM-02: stateless map of the stream, appended to a Parquet sink."""
-    s = _events_stream(spark, sf, "passthrough", False).select("event_id", "ts", "user_id", "event_type")
+    s = _events_stream(spark, sf, "passthrough")[0].select("event_id", "ts", "user_id", "event_type")
     return _drain_to_files(s, spark, "passthrough")
 
 
@@ -146,11 +155,11 @@ def stream_sliding_word_counts(spark, sf):
     """STM-05 / STM-07 (+Q8, Q9): words (event types) counted per sliding
     window of 5 minutes every minute (the width and slide are parameters;
     the reference's 300 s / 1 s works the same way)."""
-    s = _events_stream(spark, sf, "sliding", True)
+    s, src = _events_stream(spark, sf, "sliding")
     words = streams.tokens(s, "event_type")
     c = streams.sliding_counts(words, streams.event_time("ts"), "word", SLIDE_WIDTH, SLIDE_STEP, DELAY)
-    out = _drain_to_files(c, spark, "sliding")
-    return out.filter(F.col("word") != SENTINEL_KIND).select(_ntz("window_start"), _ntz("window_end"), "word", "count")
+    out = _drain_windows(c, spark, "sliding", src, "window_start")
+    return out.select(_ntz("window_start"), _ntz("window_end"), "word", "count")
 
 
 TAG_WIDTH = "10 minutes"
@@ -167,14 +176,13 @@ WHERE starts_with(tag, '#') GROUP BY 1, 2, 3"""
 def stream_tumbling_tag_counts(spark, sf):
     """STM-06 / FLT-06 / STR-07: hashtags of message text counted per
     tumbling window (width is a parameter)."""
-    s = _events_stream(spark, sf, "tags", True)
+    s, src = _events_stream(spark, sf, "tags")
     msgs = s.select("ts", F.concat(F.lit("saw #"), F.col("event_type"), F.lit(" by u"),
                                    F.col("user_id").cast("string")).alias("text"))
     tags = streams.tokens(msgs, "text", "tag").filter(F.col("tag").startswith("#"))
     c = streams.tumbling_counts(tags, streams.event_time("ts"), "tag", TAG_WIDTH, DELAY)
-    out = _drain_to_files(c, spark, "tags")
-    return out.filter(F.col("tag") != f"#{SENTINEL_KIND}").select(_ntz("window_start"), _ntz("window_end"), "tag",
-                                                                  "count")
+    out = _drain_windows(c, spark, "tags", src, "window_start")
+    return out.select(_ntz("window_start"), _ntz("window_end"), "tag", "count")
 
 
 @query("stream_top_tags", f"""
@@ -198,7 +206,7 @@ FROM events GROUP BY user_id""")
 def stream_foreach_batch_upsert(spark, sf):
     """STM-08: per-batch upsert of the latest event and the running event
     count per user into a bucketed Parquet state table."""
-    s = _events_stream(spark, sf, "upsert", False).select("user_id", "event_id", "ts", "event_type", "value")
+    s = _events_stream(spark, sf, "upsert")[0].select("user_id", "event_id", "ts", "event_type", "value")
     out = _drain_foreach(s, spark, "upsert",
                          lambda p: streams.upsert_latest(p, "user_id", ["ts", "event_id"], run_id=p), "append")
     return out.select("user_id", "event_id", "ts", "event_type", "value", "n_events")
@@ -217,8 +225,7 @@ FROM s GROUP BY user_id, sid""")
 def stream_session_windows(spark, sf):
     """STM-13 / PIP-05 in streaming form: per-user sessions, a gap of 1800 s
     or more opens a new one, emitted when the watermark closes them."""
-    s = _events_stream(spark, sf, "sessions", True)
+    s, src = _events_stream(spark, sf, "sessions")
     c = streams.session_windows(s, "user_id", "ts", 1800, DELAY)
-    out = _drain_to_files(c, spark, "sessions")
-    return out.filter(F.col("user_id") != -1).select("user_id", _ntz("session_start"), _ntz("session_end"),
-                                                     "n_events")
+    out = _drain_windows(c, spark, "sessions", src, "session_start")
+    return out.select("user_id", _ntz("session_start"), _ntz("session_end"), "n_events")

@@ -45,3 +45,15 @@ def test_upsert_replay_is_skipped(spark):
     fn(ev, 0)  # replay of batch 0: no double counting
     total = spark.read.parquet(state).agg(F.sum("n_events")).first()[0]
     assert total == ev.count()
+
+
+def test_sessions_keep_null_and_negative_users(spark, tmp_path):
+    from kestrel.plans.registry import QUERIES, load_all
+
+    load_all()
+    rows = "SELECT * FROM VALUES (1L, timestamp_ntz'2024-01-01 00:00:00', -1L, 'a', 1.0D, '{}'), " \
+           "(2L, timestamp_ntz'2024-01-01 00:00:10', CAST(NULL AS BIGINT), 'b', 1.0D, '{}'), " \
+           "(3L, timestamp_ntz'2024-01-01 02:00:00', -1L, 'a', 1.0D, '{}') AS t(event_id, ts, user_id, event_type, value, props)"
+    spark.sql(rows).write.parquet(str(tmp_path / "events.parquet"))
+    got = [(r.user_id, r.n_events) for r in QUERIES["stream_session_windows"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == [(-1, 1), (-1, 1), (None, 1)]
