@@ -32,6 +32,14 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/kestrel-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``docs`` is called so (case aside)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ascii_lower(col):
     """A-Z to a-z and nothing else."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import BLOCK_BYTES, LOWER, slices, text_bytes
+from kestrel.llm.common import BLOCK_BYTES, LOWER, free_name, slices, text_bytes
 
 DIMS = 4096
 CLUSTERS = 4
@@ -166,11 +166,8 @@ def fit(docs: DataFrame, label: str = "lang", clusters: int = CLUSTERS, sample:
     return LanguageModel(idf, centroids, [r["lang"] for r in made], np.array([r["least"] for r in made]) * margin)
 
 
-_LETTER = "__has_letter"
-
-
-def _marked(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(_LETTER, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+def _marked(docs: DataFrame, letter: str) -> DataFrame:
+    return docs.withColumn(letter, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -180,23 +177,24 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                letter = part.column(_LETTER).to_numpy(zero_copy_only=False)
+                letter = part.column("_letter").to_numpy(zero_copy_only=False)
                 lang, score, near = known.value.predict(part.column("text"))
                 lang = [x if ok else UNKNOWN for x, ok in zip(lang, letter, strict=True)]
                 yield pa.record_batch([part.column("doc_id"), pa.array(lang, pa.string()), pa.array(np.where(letter, score, 0.0)), pa.array(~(near & letter))], names=["doc_id", "lang_pred", "score", "rejected"])
 
-    rows = _marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    rows = _marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "_letter")
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The rows of ``docs``, all columns, that are not rejected."""
     known = docs.sparkSession.sparkContext.broadcast(model)
+    mark = free_name(docs, "_letter")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                letter = part.column(_LETTER).to_numpy(zero_copy_only=False)
-                yield part.drop_columns([_LETTER]).filter(pa.array(known.value.predict(part.column("text"))[2] & letter))
+                letter = part.column(mark).to_numpy(zero_copy_only=False)
+                yield part.drop_columns([mark]).filter(pa.array(known.value.predict(part.column("text"))[2] & letter))
 
-    return _marked(docs).mapInArrow(run, docs.schema)
+    return _marked(docs, mark).mapInArrow(run, docs.schema)

@@ -23,7 +23,8 @@ counts as a document but is never the one that keeps its line (if no row has
 an id, every line goes); rows that share a doc_id each count; a document whose
 lines all go has an empty text; kept lines stay unchanged, in their order,
 joined by line feeds; a text without a recurring line is returned byte for
-byte; empty tables give empty results; other columns are carried through.
+byte; empty tables give empty results; other columns are carried through,
+whatever they are called (helper columns take names that are free).
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import BLOCK_BYTES, SPACE_WORDS, U64, Words, bucket_of, cuts, member, mix, powers, text_bytes
+from kestrel.llm.common import BLOCK_BYTES, SPACE_WORDS, U64, Words, bucket_of, cuts, free_name, member, mix, powers, text_bytes
 
 DEPTH = 2
 MIN_WORDS = 8
@@ -89,7 +90,7 @@ def _ids(column) -> np.ndarray:
     return np.asarray(column.fill_null(_NONE)).astype(np.int64)
 
 
-def _send(depth: int, min_words: int, n_buckets: int):
+def _send(depth: int, min_words: int, n_buckets: int, block: str):
     def run(rows: pa.Table) -> pa.Table:
         lines = _Lines(rows["text"], depth, min_words)
         row = np.repeat(lines.text[lines.long], 4)
@@ -102,7 +103,7 @@ def _send(depth: int, min_words: int, n_buckets: int):
         out = np.zeros(len(head), _KEY)
         if len(head):
             out["key"], out["doc"], out["n"] = key[head], np.minimum.reduceat(doc, head), np.diff(np.r_[head, len(key)])
-        b = int(rows["_b"][0].as_py())
+        b = int(rows[block][0].as_py())
         got = [(i, b, out[x:y].tobytes()) for i, x, y in cuts(bucket_of(out["key"], n_buckets))]
         return pa.table([pa.array([g[j] for g in got], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "_b", "keys"])
 
@@ -132,7 +133,7 @@ def _answer(min_docs: int):
     return run
 
 
-def _drop(depth: int, min_words: int, schema: pa.Schema):
+def _drop(depth: int, min_words: int, schema: pa.Schema, counts: tuple[str, str]):
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return schema.empty_table()
@@ -154,25 +155,33 @@ def _drop(depth: int, min_words: int, schema: pa.Schema):
                 new[i] = b"\n".join(raw[lines.begin[j]: lines.end[j]] for j in range(ptr[i], ptr[i + 1]) if not gone[j]).decode()
             text = pa.array(new, pa.string())
         null = ~np.asarray(rows["text"].combine_chunks().is_valid())
-        found = {"text": text, "_n_lines": pa.array(np.where(null, 0, total), pa.int64()), "_n_dropped": pa.array(dropped, pa.int64())}
+        found = {"text": text, counts[0]: pa.array(np.where(null, 0, total), pa.int64()), counts[1]: pa.array(dropped, pa.int64())}
         return pa.table([found[f.name] if f.name in found else rows[f.name] for f in schema], schema=schema)
 
     return run
 
 
-def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """All columns of ``docs`` with recurring lines taken out of ``text``, then ``_n_lines`` and ``_n_dropped``."""
+def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS, block_bytes: int = BLOCK_BYTES,
+                counts: tuple[str, str] = ("_n_lines", "_n_dropped")) -> DataFrame:
+    """All columns of ``docs`` with recurring lines taken out of ``text``, then the two ``counts``: lines, and lines dropped.
+
+    The names of ``counts`` must be free in ``docs``.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    out = docs.withColumn("_n_lines", F.lit(0).cast("long")).withColumn("_n_dropped", F.lit(0).cast("long"))
+    taken = {c.lower() for c in docs.columns} & {c.lower() for c in counts}
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are there already: name the counts otherwise")
+    out = docs.withColumn(counts[0], F.lit(0).cast("long")).withColumn(counts[1], F.lit(0).cast("long"))
     schema = pa.schema([pa.field(f.name, f.type) for f in to_arrow_schema(out.schema)])
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n = max(1, -(-int(size) // block_bytes))
     n_buckets = max(1, n // 4)
     tasks = max(1, min(n, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4))
+    block = free_name(docs, "_b")
     # rows without an id are spread by their text
-    base = docs.withColumn("_b", F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(n)).cast("int")).repartition(tasks, "_b")
-    by = base.groupBy("_b")
-    sent = by.applyInArrow(_send(depth, min_words, n_buckets), "bucket int, _b int, keys binary")
+    base = docs.withColumn(block, F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(n)).cast("int")).repartition(tasks, block)
+    by = base.groupBy(block)
+    sent = by.applyInArrow(_send(depth, min_words, n_buckets, block), "bucket int, _b int, keys binary")
     back = sent.groupBy("bucket").applyInArrow(_answer(min_docs), "_b int, keys binary")
-    return by.cogroup(back.groupBy("_b")).applyInArrow(_drop(depth, min_words, schema), out.schema)
+    return by.cogroup(back.groupBy("_b")).applyInArrow(_drop(depth, min_words, schema, counts), out.schema)
