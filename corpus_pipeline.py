@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm import decontaminate, languages, lines, packing, simhash
-from kestrel.llm.common import table, work_path
+from kestrel.llm.common import free_name, table, work_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = lines.dedup_lines(docs).drop("_n_lines", "_n_dropped")
+    out = lines.dedup_lines(docs, counts=(free_name(docs, "_n_lines"), free_name(docs, "_n_dropped")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
@@ -43,7 +43,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
     # rows that share an id are as many as the table repeats that id
     order = Window.partitionBy("doc_id").orderBy(*(F.col(c) for c in docs.columns if c != "doc_id"))
-    one = found.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    rank = free_name(docs, "_rank")
+    one = found.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
     return one.unionByName(docs.where("doc_id is null"))
 
 
