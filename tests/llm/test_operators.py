@@ -191,6 +191,10 @@ def test_lines(spark, odd, none):
             got = [tuple(r) for r in out.select("doc_id", "_n_lines", "_n_dropped", "text").collect()]
             assert sorted(map(str, got)) == sorted(map(str, line_dedup([tuple(r) for r in docs.select("doc_id", "text").collect()])))
     assert dedup_lines(made).agg(F.sum("_n_dropped")).first()[0] >= 6
+    assert {r["_b"] for r in dedup_lines(odd).select("_b").collect()} == {7}
+    with pytest.raises(ValueError):
+        dedup_lines(odd.withColumn("_n_lines", F.lit(1)))
+    assert dedup_lines(odd.withColumn("_n_lines", F.lit(1)), counts=("lines", "gone")).columns == [*odd.columns, "_n_lines", "lines", "gone"]
     assert dedup_lines(none).count() == 0
 
 
@@ -466,4 +470,18 @@ def test_pipeline(spark, odd, none, tmp_path):
         docs = out
     for _, stage in cp.STAGES:
         assert stage(spark, none, SMALL).count() == 0
-        stage(spark, odd.drop("_b", "fp", "n_hit"), SMALL).count()
+        stage(spark, odd, SMALL).count()
+
+
+def test_pipeline_carries_columns_named_like_helpers(spark, odd, none):
+    import corpus_pipeline as cp
+
+    names = ["_n", "_rank", "_kept", "_hit", "_letter", "__has_letter", "_n_lines", "_n_dropped", "bucket", "keys", "component_id", "item_id", "words", "shard"]
+    docs = odd.select("*", *(F.lit(f"mine {c}").alias(c) for c in names))
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r["_b"] == 7 and r["fp"] == "k" and r["n_hit"] == 0 and all(r[c] == f"mine {c}" for c in names) for r in rows), name
+    pack = cp.STAGES[-1][1]
+    assert pack(spark, docs, SMALL).count() == pack(spark, odd, SMALL).count()
