@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 
 from kestrel.session import shared_dir
 
-#: Text bytes that one block of documents, or one slice of an Arrow batch, is aimed at.
+#: Text bytes that one block of documents is aimed at.
 BLOCK_BYTES = 4 << 20
 
+#: Text bytes that one slice of an Arrow batch is aimed at; numpy needs some fifty times as much for a moment.
+SLICE_BYTES = 1 << 20
+
 U64 = np.uint64
 
 
@@ -78,7 +81,7 @@ def text_bytes(col) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]: off[-1]], off - off[0]
 
 
-def slices(batch: pa.RecordBatch | pa.Table, column: str, most: int = BLOCK_BYTES):
+def slices(batch: pa.RecordBatch | pa.Table, column: str, most: int = SLICE_BYTES):
     """Zero-copy row slices of at most ``most`` text bytes (one row at least)."""
     n = batch.num_rows
     if not n:
@@ -128,11 +131,15 @@ class Words:
             return np.zeros(0, U64)
         table_, up, down = powers(len(self.data), seed)
         total = np.zeros(len(self.data) + 1, U64)
-        np.cumsum(table_[self.data] * up[: len(self.data)], out=total[1:])
+        value = table_[self.data]
+        value *= up[: len(value)]
+        np.cumsum(value, out=total[1:])
         return mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(U64))
 
 
 _POWERS: dict[int, tuple] = {}
+#: Powers that a worker keeps for each seed (16 bytes each).
+KEPT_POWERS = 5 << 18
 
 
 def powers(n: int, seed: int):
@@ -146,7 +153,7 @@ def powers(n: int, seed: int):
         up, down = np.full(size, U64(p), U64), np.full(size, U64(pow(p, -1, 2**64)), U64)
         up[0] = down[0] = 1
         got = values, np.cumprod(up), np.cumprod(down)
-        if size <= 8 << 20:
+        if size <= KEPT_POWERS:  # larger ones go with their block
             _POWERS[seed] = got
     return got
 

@@ -42,7 +42,7 @@ MIN_DOCS = 3
 
 _NONE = np.iinfo(np.int64).max
 _FIELD = U64(0xF1E1DF1E1D)
-_DIGIT = np.zeros(256, np.int64)
+_DIGIT = np.zeros(256, np.uint8)
 _DIGIT[0x30:0x3A] = 1
 _KEY = np.dtype([("key", "<u8"), ("doc", "<i8"), ("n", "<i4")])
 
@@ -66,7 +66,8 @@ class _Lines:
         self.end[~last] = self.begin[1:][~last[:-1]] - 1
         w = Words(self.data, self.off, SPACE_WORDS)
         h = w.hashes()
-        digits = np.r_[0, np.cumsum(_DIGIT[self.data])]
+        digits = np.zeros(len(self.data) + 1, np.int64 if len(self.data) >> 31 else np.int32)
+        np.cumsum(_DIGIT[self.data], out=digits[1:])
         h = np.where(digits[w.end] > digits[w.start], _FIELD, h)
         first = np.searchsorted(w.start, self.begin)
         size = np.searchsorted(w.start, self.end) - first
