@@ -125,11 +125,11 @@ class Words:
         """Whether k words from here on stay in the same text."""
         return np.arange(self.n) + k <= np.repeat(self.ptr[1:], self.count)
 
-    def hashes(self, seed: int = 0) -> np.ndarray:
+    def hashes(self, seed: int = 0, keep: bool = True) -> np.ndarray:
         """64-bit hash of each word's bytes."""
         if not self.n:
             return np.zeros(0, U64)
-        table_, up, down = powers(len(self.data), seed)
+        table_, up, down = powers(len(self.data), seed, keep)
         total = np.zeros(len(self.data) + 1, U64)
         value = table_[self.data]
         value *= up[: len(value)]
@@ -139,11 +139,14 @@ class Words:
 
 _POWERS: dict[int, tuple] = {}
 #: Powers that a worker keeps for each seed (16 bytes each).
-KEPT_POWERS = 5 << 18
+KEPT_POWERS = 8 << 20
 
 
-def powers(n: int, seed: int):
-    """A random value for each byte; powers of an odd number and of its inverse modulo 2**64."""
+def powers(n: int, seed: int, keep: bool = True):
+    """A random value for each byte; powers of an odd number and of its inverse modulo 2**64.
+
+    They are kept for later calls, unless ``keep`` is false or they are over ``KEPT_POWERS``.
+    """
     got = _POWERS.get(seed)
     if got is None or len(got[1]) < n:
         rng = np.random.default_rng(0x5EED + seed)
@@ -153,7 +156,7 @@ def powers(n: int, seed: int):
         up, down = np.full(size, U64(p), U64), np.full(size, U64(pow(p, -1, 2**64)), U64)
         up[0] = down[0] = 1
         got = values, np.cumprod(up), np.cumprod(down)
-        if size <= KEPT_POWERS:  # larger ones go with their block
+        if keep and size <= KEPT_POWERS:
             _POWERS[seed] = got
     return got
 

@@ -65,7 +65,7 @@ class _Lines:
         self.end[last] = self.off[1:]
         self.end[~last] = self.begin[1:][~last[:-1]] - 1
         w = Words(self.data, self.off, SPACE_WORDS)
-        h = w.hashes()
+        h = w.hashes(keep=False)  # two looks at a block are too few to hold its powers for
         digits = np.zeros(len(self.data) + 1, np.int64 if len(self.data) >> 31 else np.int32)
         np.cumsum(_DIGIT[self.data], out=digits[1:])
         h = np.where(digits[w.end] > digits[w.start], _FIELD, h)
