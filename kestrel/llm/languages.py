@@ -3,19 +3,21 @@
 A text is a vector of its byte pairs and triples (ASCII lower-cased, ASCII
 non-letters as one space), hashed into ``DIMS`` places: log counts times
 inverse document frequency, scaled to length one. Each language has up to
-``clusters`` centroids from spherical k-means; a text gets the language of the
-centroid with the largest cosine. It is rejected if that cosine is below
-``margin`` times the smallest that the centroid's own training texts have, or
-if it has no letter.
+``clusters`` centroids from spherical k-means (k-means++ seeds; the texts of a
+cluster of under ``OUTLIERS`` of the sample are set aside); a text gets the
+language of the centroid with the largest cosine. It is rejected if that cosine
+is below ``margin`` times the low quantile (``QUANTILE``) of the cosines that
+the centroid's own training texts have, or if it has no letter. So neither an
+empty text nor a few strange ones under a label open the limit.
 
 The model is fitted on a bounded sample: per language the ``sample`` rows with
-the least hash of their id, whole texts. Vectors are made and clustered on the
+the least hash of their id among those with a letter, whole texts. Vectors are made and clustered on the
 executors, one group of at most ``sample`` vectors per language; the driver
 gets the centroids. Prediction is one pass without a shuffle; the model
 (languages x clusters x DIMS floats) is broadcast.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
-rejected; with no training row everything is ``und``; equal cosines go to the
+rejected, and no training row; with no training row everything is ``und``; equal cosines go to the
 language that sorts first; empty tables give empty results; repeated rows each
 return a row; clashing extra columns are carried through untouched
 (``keep_identified``) or not looked at.
@@ -37,6 +39,8 @@ DIMS = 4096
 CLUSTERS = 4
 SAMPLE = 400
 MARGIN = 0.2
+QUANTILE = 0.05
+OUTLIERS = 0.02
 UNKNOWN = "und"
 _ROWS = 512
 
@@ -78,7 +82,7 @@ class LanguageModel:
     idf: np.ndarray
     centroids: np.ndarray
     languages: list = field(default_factory=list)  # of each centroid
-    least: np.ndarray = None  # smallest cosine of a centroid's own texts
+    least: np.ndarray = None  # least cosine that a centroid takes
 
     def predict(self, column) -> tuple[list, np.ndarray, np.ndarray]:
         """(language, cosine, whether the cosine is within reach) of each text."""
@@ -100,19 +104,39 @@ class LanguageModel:
         return lang, np.concatenate(score or [np.zeros(0)]), np.concatenate(near or [np.zeros(0, bool)])
 
 
-def _cluster(x: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from far-apart seeds: (centroids, smallest cosine of each one's members)."""
+def _seeds(x: np.ndarray, k: int) -> list[int]:
+    """k-means++ from a fixed random state: far texts are likely seeds, no single one is a sure seed."""
+    rng = np.random.default_rng(5)
     seed = [int((x @ _unit(x.sum(0, keepdims=True))[0]).argmax())]
     while len(seed) < min(k, len(x)):
-        seed.append(int((x @ x[seed].T).max(1).argmin()))
-    c = x[seed]
-    for _ in range(rounds):
-        own = (x @ c.T).argmax(1)
-        c = _unit(np.stack([x[own == i].sum(0) if (own == i).any() else c[i] for i in range(len(c))]))
-    cos = x @ c.T
-    own = cos.argmax(1)
+        far = np.clip(1 - (x @ x[seed].T).max(1), 0, None).astype(np.float64)
+        far[far < 1e-6] = 0
+        if not far.any():
+            break
+        seed.append(int(rng.choice(len(x), p=far / far.sum())))
+    return seed
+
+
+def _cluster(x: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means: (centroids, low quantile of the cosines of each one's members).
+
+    The texts of a cluster with a share of under ``OUTLIERS`` are set aside and
+    the rest is clustered anew, as long as nine tenths of the texts stay.
+    """
+    texts = len(x)
+    while True:
+        c = x[_seeds(x, k)]
+        for _ in range(rounds):
+            own = (x @ c.T).argmax(1)
+            c = _unit(np.stack([x[own == i].sum(0) if (own == i).any() else c[i] for i in range(len(c))]))
+        cos = x @ c.T
+        own = cos.argmax(1)
+        stays = np.bincount(own, minlength=len(c))[own] >= OUTLIERS * texts
+        if stays.all() or stays.sum() < 0.9 * texts:
+            break
+        x = x[stays]
     used = [i for i in range(len(c)) if (own == i).any()]
-    return c[used], np.array([cos[own == i, i].min() for i in used])
+    return c[used], np.array([np.quantile(cos[own == i, i], QUANTILE) for i in used])
 
 
 def fit(docs: DataFrame, label: str = "lang", clusters: int = CLUSTERS, sample: int = SAMPLE, margin: float = MARGIN) -> LanguageModel:
@@ -121,7 +145,8 @@ def fit(docs: DataFrame, label: str = "lang", clusters: int = CLUSTERS, sample:
 
     shared_dir(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    rows = rows.where("lang is not null and text is not null and doc_id is not null")
+    # a text without a letter or of one byte has no vector to learn from, and must not take a place in the sample
+    rows = rows.where("lang is not null and text is not null and doc_id is not null").where(F.col("text").rlike(r"\p{L}") & (F.octet_length("text") > 1))
     # the least hashes of a frequent language are looked for below four times the hash that ``sample`` rows should reach
     ids = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("hash"))
     often = ids.groupBy("lang").agg((F.lit(4.0 * sample * (1 << 40)) / F.count("*")).alias("below"))

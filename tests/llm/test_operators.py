@@ -222,6 +222,19 @@ def test_language(spark, odd, none):
     assert {r["lang_pred"] for r in identify(odd, empty).collect()} == {"und"} and identify(none, model).count() == 0
 
 
+def test_language_limits_hold_with_empty_and_strange_texts_among_the_labelled(spark):
+    from kestrel.llm.languages import fit, identify
+
+    docs = docs_of(spark).select("doc_id", "text", "lang")
+    strange = ["", None, "!!! 123", " \n\t ", "x"]
+    rows = [(10_000 + 10 * i + j, t, lang) for i, lang in enumerate(("de", "en", "es", "fr")) for j, t in enumerate(strange)]
+    model = fit(docs.union(spark.createDataFrame(rows, docs.schema)))
+    assert {lang: model.languages.count(lang) for lang in model.languages} == {"de": 4, "en": 4, "es": 4, "fr": 4} and (model.least > 0.05).all()
+    noise = [(1, "Россия — государство в Восточной Европе и Северной Азии."), (2, "中国是位于东亚的国家，首都为北京。"), (3, "روسيا دولة تقع في شرق أوروبا")]
+    assert all(r["rejected"] for r in identify(spark.createDataFrame(noise, "doc_id long, text string"), model).collect())
+    assert identify(docs, model).where("rejected").count() <= 2
+
+
 # ---------------------------------------------------------------- 6
 
 def test_sketches(spark, odd, none):
