@@ -7,8 +7,9 @@ inverse document frequency, scaled to length one. Each language has up to
 cluster of under ``OUTLIERS`` of the sample are set aside); a text gets the
 language of the centroid with the largest cosine. It is rejected if that cosine
 is below ``margin`` times the low quantile (``QUANTILE``) of the cosines that
-the centroid's own training texts have, or if it has no letter. So neither an
-empty text nor a few strange ones under a label open the limit.
+training texts of the language have which were held out of its centroids (every
+fourth of the sample), or if it has no letter. So neither an empty text
+nor a few strange ones under a label open the limit.
 
 The model is fitted on a bounded sample: per language the ``sample`` rows with
 the least hash of their id among those with a letter, whole texts. Vectors are made and clustered on the
@@ -38,7 +39,7 @@ from kestrel.llm.common import BLOCK_BYTES, LOWER, free_name, slices, text_bytes
 DIMS = 4096
 CLUSTERS = 4
 SAMPLE = 400
-MARGIN = 0.2
+MARGIN = 0.5
 QUANTILE = 0.05
 OUTLIERS = 0.02
 UNKNOWN = "und"
@@ -117,8 +118,8 @@ def _seeds(x: np.ndarray, k: int) -> list[int]:
     return seed
 
 
-def _cluster(x: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means: (centroids, low quantile of the cosines of each one's members).
+def _cluster(x: np.ndarray, k: int, rounds: int = 20) -> np.ndarray:
+    """Centroids of spherical k-means.
 
     The texts of a cluster with a share of under ``OUTLIERS`` are set aside and
     the rest is clustered anew, as long as nine tenths of the texts stay.
@@ -129,14 +130,21 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray, np.nd
         for _ in range(rounds):
             own = (x @ c.T).argmax(1)
             c = _unit(np.stack([x[own == i].sum(0) if (own == i).any() else c[i] for i in range(len(c))]))
-        cos = x @ c.T
-        own = cos.argmax(1)
+        own = (x @ c.T).argmax(1)
         stays = np.bincount(own, minlength=len(c))[own] >= OUTLIERS * texts
         if stays.all() or stays.sum() < 0.9 * texts:
             break
         x = x[stays]
-    used = [i for i in range(len(c)) if (own == i).any()]
-    return c[used], np.array([np.quantile(cos[own == i, i], QUANTILE) for i in used])
+    return c[[i for i in range(len(c)) if (own == i).any()]]
+
+
+def _learn(x: np.ndarray, k: int) -> tuple[np.ndarray, float]:
+    """(centroids, low quantile of the cosines of texts held out of them: every fourth, or all if they are too few)."""
+    held = np.arange(len(x)) % 4 == 3
+    if len(x) < 8:
+        held[:] = False
+    c = _cluster(x[~held], k)
+    return c, float(np.quantile(((x[held] if held.any() else x) @ c.T).max(1), QUANTILE))
 
 
 def fit(docs: DataFrame, label: str = "lang", clusters: int = CLUSTERS, sample: int = SAMPLE, margin: float = MARGIN) -> LanguageModel:
@@ -183,8 +191,8 @@ def fit(docs: DataFrame, label: str = "lang", clusters: int = CLUSTERS, sample:
     def group(rows_: pa.Table) -> pa.Table:
         rows_ = rows_.take(np.argsort(rows_["doc_id"].to_numpy(), kind="stable"))
         x = vectors(np.stack([np.frombuffer(v.as_py(), "<f4") for v in rows_["tf"]]), idf)
-        c, least = _cluster(x, clusters)
-        return pa.table({"lang": pa.array([rows_["lang"][0].as_py()] * len(c), pa.string()), "centroid": pa.array([v.astype("<f4").tobytes() for v in c], pa.binary()), "least": pa.array(least.astype(np.float64))})
+        c, least = _learn(x, clusters)
+        return pa.table({"lang": pa.array([rows_["lang"][0].as_py()] * len(c), pa.string()), "centroid": pa.array([v.astype("<f4").tobytes() for v in c], pa.binary()), "least": pa.array([least] * len(c), pa.float64())})
 
     made = sorted(counted.groupBy("lang").applyInArrow(group, "lang string, centroid binary, least double").collect(), key=lambda r: (r["lang"], bytes(r["centroid"])))
     centroids = np.stack([np.frombuffer(bytes(r["centroid"]), "<f4") for r in made]) if made else np.zeros((0, DIMS), np.float32)

@@ -235,6 +235,23 @@ def test_language_limits_hold_with_empty_and_strange_texts_among_the_labelled(sp
     assert identify(docs, model).where("rejected").count() <= 2
 
 
+def test_language_rejects_latin_script_of_no_learned_language_and_code(spark):
+    from kestrel.llm.languages import fit, identify
+
+    foreign = [
+        "Suomi on tasavalta Pohjois-Euroopassa. Sen pääkaupunki on Helsinki ja siellä asuu yli puoli miljoonaa ihmistä. Maan suurimmat kaupungit ovat etelässä.",
+        "Polska jest państwem położonym w Europie Środkowej. Stolicą kraju jest Warszawa, a największe miasta to także Kraków, Łódź, Wrocław i Poznań.",
+        "Magyarország közép-európai ország, fővárosa Budapest. Lakosainak száma közel tízmillió, hivatalos nyelve a magyar.",
+        "#include <stdio.h>\nint main(int argc, char **argv) {\n  for (int i = 0; i < argc; i++) {\n    printf(\"%s\\n\", argv[i]);\n  }\n  return 0;\n}\n",
+    ]
+    docs = docs_of(spark)
+    model = fit(docs.where("doc_id % 4 > 0"))
+    got = identify(spark.createDataFrame(list(enumerate(foreign)), "doc_id long, text string"), model).collect()
+    assert [r["doc_id"] for r in got if not r["rejected"]] == []
+    held = docs.where("doc_id % 4 = 0 and text rlike '[a-z]'")
+    assert identify(held, model).where("rejected").count() <= 1
+
+
 # ---------------------------------------------------------------- 6
 
 def test_sketches(spark, odd, none):
