@@ -11,7 +11,11 @@ quarter only and agree in their leading words.
 A template recurs if rows of ``min_docs`` documents or more have it. A line
 with a recurring template is dropped, except in the document with the
 smallest id among those that have it; short lines (under ``min_words``
-words) say too little to be templates and stay.
+words) say too little for a quarter of them to vary.
+
+With ``whole_docs`` every line with a word in it hangs in one leaf more, that of
+all its words (digits aside), whatever its length; that template recurs if rows
+of ``whole_docs`` documents have it. Without it short lines stay.
 
 Blocks of documents send each template once (hash, smallest id, documents); a
 template that a third of all documents have is one row of each block. The
@@ -39,18 +43,21 @@ from kestrel.llm.common import BLOCK_BYTES, SPACE_WORDS, U64, Words, bucket_of,
 DEPTH = 2
 MIN_WORDS = 8
 MIN_DOCS = 3
+WHOLE_DOCS = 3
 
 _NONE = np.iinfo(np.int64).max
 _FIELD = U64(0xF1E1DF1E1D)
+_WHOLE = U64(0x9E3779B97F4A7C15)
 _DIGIT = np.zeros(256, np.uint8)
 _DIGIT[0x30:0x3A] = 1
+# whether a key is of a whole line is in its lowest bit
 _KEY = np.dtype([("key", "<u8"), ("doc", "<i8"), ("n", "<i4")])
 
 
 class _Lines:
-    """Lines of a set of texts and the template keys of each."""
+    """Lines of a set of texts and their template keys: ``keys[i]`` is one of line ``line[i]``."""
 
-    def __init__(self, column, depth: int, min_words: int):
+    def __init__(self, column, depth: int, min_words: int, whole: bool):
         self.data, self.off = text_bytes(column)
         feed = np.flatnonzero(self.data == 0x0A)
         n = len(self.off) - 1
@@ -71,8 +78,8 @@ class _Lines:
         h = np.where(digits[w.end] > digits[w.start], _FIELD, h)
         first = np.searchsorted(w.start, self.begin)
         size = np.searchsorted(w.start, self.end) - first
-        self.long = np.flatnonzero(size >= max(min_words, depth + 4))
-        a, m = first[self.long], size[self.long]
+        long = np.flatnonzero(size >= max(min_words, depth + 4))
+        a, m = first[long], size[long]
         _, up, down = powers(len(h) + 1, 200)
         total = np.zeros(len(h) + 1, U64)
         np.cumsum(h * up[: len(h)], out=total[1:])
@@ -84,18 +91,24 @@ class _Lines:
         cut = [a + depth + rest * q // 4 for q in range(5)]
         root = mix(span(a, a + depth) + m.astype(U64))
         quarter = [mix(span(cut[q], cut[q + 1]) + U64(q + 1)) for q in range(4)]
-        self.keys = np.stack([mix(root + U64(q) + sum(quarter[p] * U64(2 * p + 3) for p in range(4) if p != q)) for q in range(4)], 1) if len(m) else np.zeros((0, 4), U64)
+        keys = [mix(root + U64(q) + sum(quarter[p] * U64(2 * p + 3) for p in range(4) if p != q)) for q in range(4)]
+        self.line, self.whole = np.tile(long, 4), np.zeros(4 * len(long), bool)
+        if whole:
+            some = np.flatnonzero(size > 0)
+            a, m = first[some], size[some]
+            keys.append(mix(span(a, a + m) + m.astype(U64) * _WHOLE))
+            self.line, self.whole = np.r_[self.line, some], np.r_[self.whole, np.ones(len(some), bool)]
+        self.keys = (np.concatenate(keys) & ~U64(1)) | self.whole.astype(U64)
 
 
 def _ids(column) -> np.ndarray:
     return np.asarray(column.fill_null(_NONE)).astype(np.int64)
 
 
-def _send(depth: int, min_words: int, n_buckets: int, block: str):
+def _send(depth: int, min_words: int, whole: bool, n_buckets: int, block: str):
     def run(rows: pa.Table) -> pa.Table:
-        lines = _Lines(rows["text"], depth, min_words)
-        row = np.repeat(lines.text[lines.long], 4)
-        key = lines.keys.ravel()
+        lines = _Lines(rows["text"], depth, min_words, whole)
+        row, key = lines.text[lines.line], lines.keys
         order = np.lexsort((row, key))
         key, row = key[order], row[order]
         once = np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])] if len(key) else np.zeros(0, bool)
@@ -111,7 +124,7 @@ def _send(depth: int, min_words: int, n_buckets: int, block: str):
     return run
 
 
-def _answer(min_docs: int):
+def _answer(min_docs: int, whole_docs: int):
     def run(rows: pa.Table) -> pa.Table:
         blobs = [np.frombuffer(x.as_py(), _KEY) for x in rows["keys"]]
         all_ = np.concatenate(blobs)
@@ -119,8 +132,9 @@ def _answer(min_docs: int):
         key = all_["key"][order]
         head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         n, least = np.add.reduceat(all_["n"][order].astype(np.int64), head), np.minimum.reduceat(all_["doc"][order], head)
-        recurs = n >= min_docs
-        key, least = key[head][recurs], least[recurs]
+        key = key[head]
+        recurs = n >= np.where(key & U64(1), whole_docs, min_docs)
+        key, least = key[recurs], least[recurs]
         out = []
         for b, blob in zip(rows["_b"].to_pylist(), blobs, strict=True):
             at = member(blob["key"], key)
@@ -134,20 +148,20 @@ def _answer(min_docs: int):
     return run
 
 
-def _drop(depth: int, min_words: int, schema: pa.Schema, counts: tuple[str, str]):
+def _drop(depth: int, min_words: int, whole: bool, schema: pa.Schema, counts: tuple[str, str]):
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return schema.empty_table()
-        lines = _Lines(rows["text"], depth, min_words)
+        lines = _Lines(rows["text"], depth, min_words, whole)
         n = rows.num_rows
         total = np.bincount(lines.text, minlength=n)
         gone = np.zeros(len(lines.text), bool)
-        if answers.num_rows and len(lines.long):
+        if answers.num_rows and len(lines.keys):
             known = np.concatenate([np.frombuffer(x.as_py(), _KEY) for x in answers["keys"]])
             known = known[np.argsort(known["key"], kind="stable")]
-            at = member(lines.keys.ravel(), known["key"])
-            doc = np.repeat(_ids(rows["doc_id"])[lines.text[lines.long]], 4)
-            gone[lines.long] = ((at >= 0) & ((known["doc"][at] < doc) | (doc == _NONE))).reshape(-1, 4).any(1)
+            at = member(lines.keys, known["key"])
+            doc = _ids(rows["doc_id"])[lines.text[lines.line]]
+            gone[lines.line[(at >= 0) & ((known["doc"][at] < doc) | (doc == _NONE))]] = True
         dropped = np.bincount(lines.text[gone], minlength=n)
         text = rows["text"].combine_chunks()
         if gone.any():
@@ -163,10 +177,11 @@ def _drop(depth: int, min_words: int, schema: pa.Schema, counts: tuple[str, str]
 
 
 def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS, block_bytes: int = BLOCK_BYTES,
-                counts: tuple[str, str] = ("_n_lines", "_n_dropped")) -> DataFrame:
+                counts: tuple[str, str] = ("_n_lines", "_n_dropped"), whole_docs: int | None = None) -> DataFrame:
     """All columns of ``docs`` with recurring lines taken out of ``text``, then the two ``counts``: lines, and lines dropped.
 
-    The names of ``counts`` must be free in ``docs``.
+    The names of ``counts`` must be free in ``docs``. ``whole_docs``: documents
+    from which on a line recurs by all its words; None: quarters only.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -178,11 +193,12 @@ def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_words: int = MIN_WORDS,
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n = max(1, -(-int(size) // block_bytes))
     n_buckets = max(1, n // 4)
+    whole = whole_docs is not None
     tasks = max(1, min(n, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4))
     block = free_name(docs, "_b")
     # rows without an id are spread by their text
     base = docs.withColumn(block, F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(n)).cast("int")).repartition(tasks, block)
     by = base.groupBy(block)
-    sent = by.applyInArrow(_send(depth, min_words, n_buckets, block), "bucket int, _b int, keys binary")
-    back = sent.groupBy("bucket").applyInArrow(_answer(min_docs), "_b int, keys binary")
-    return by.cogroup(back.groupBy("_b")).applyInArrow(_drop(depth, min_words, schema, counts), out.schema)
+    sent = by.applyInArrow(_send(depth, min_words, whole, n_buckets, block), "bucket int, _b int, keys binary")
+    back = sent.groupBy("bucket").applyInArrow(_answer(min_docs, whole_docs or 0), "_b int, keys binary")
+    return by.cogroup(back.groupBy("_b")).applyInArrow(_drop(depth, min_words, whole, schema, counts), out.schema)

@@ -101,9 +101,9 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from kestrel.llm.lines import dedup_lines
+    from kestrel.llm.lines import WHOLE_DOCS, dedup_lines
 
-    out = dedup_lines(table(spark, sf_dir, "documents"))
+    out = dedup_lines(table(spark, sf_dir, "documents"), whole_docs=WHOLE_DOCS)
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
 
 
