@@ -43,7 +43,7 @@ from kestrel.llm.common import BLOCK_BYTES, SPACE_WORDS, U64, Words, bucket_of,
 DEPTH = 2
 MIN_WORDS = 8
 MIN_DOCS = 3
-WHOLE_DOCS = 3
+WHOLE_DOCS = 2
 
 _NONE = np.iinfo(np.int64).max
 _FIELD = U64(0xF1E1DF1E1D)

@@ -217,22 +217,22 @@ def whole_line_dedup(rows, whole_docs):
     return out
 
 
-def test_short_lines(spark, odd, none):
+def test_short_lines_and_lines_of_two_documents(spark, odd, none):
     from kestrel.llm.lines import dedup_lines
     from kestrel.llm.queries import op4_line_dedup
 
     short, long = "All rights reserved.", "a passage of well over eight words that two otherwise different documents share"
     rows = [(1, f"one\n{short}\nversion 1"), (2, f"two\n{short}\nversion 2"), (3, f"three\n{long}"), (4, f"four\n\n{long}\n{short}"), (None, "five\nversion 3"), (6, None), (7, "")]
     made = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in dedup_lines(made, whole_docs=3).collect()}
-    assert got == {1: rows[0][1], 2: "two", 3: rows[2][1], 4: f"four\n\n{long}", None: "five", 6: None, 7: ""}
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(made, whole_docs=2).collect()}
+    assert got == {1: rows[0][1], 2: "two", 3: rows[2][1], 4: "four\n", None: "five", 6: None, 7: ""}
     for docs in (made, docs_of(spark), odd):
         for size, whole in ((3_000, 2), (1 << 20, 3)):
             got = [(r["doc_id"], r["_n_lines"], r["text"]) for r in dedup_lines(docs, block_bytes=size, whole_docs=whole).collect()]
             assert sorted(map(str, got)) == sorted(map(str, whole_line_dedup([tuple(r) for r in docs.select("doc_id", "text").collect()], whole)))
     assert dedup_lines(none, whole_docs=2).count() == 0
     query = {r["doc_id"]: r["text"] for r in op4_line_dedup(spark, SMALL).collect()}
-    assert query == {i: t for i, _, t in whole_line_dedup([tuple(r) for r in docs_of(spark).select("doc_id", "text").collect()], 3)}
+    assert query == {i: t for i, _, t in whole_line_dedup([tuple(r) for r in docs_of(spark).select("doc_id", "text").collect()], 2)}
 
 
 # ---------------------------------------------------------------- 5
