@@ -3,7 +3,9 @@
 Documents become sequences of at most ``capacity`` words. A longer document is
 cut: each full piece is a bin of its own, the rest is packed like a document.
 A bin carries two bitmaps, of the sources and of the duplicate clusters of its
-documents, and takes no second document of either. Bins stand in the order of
+documents, and takes no second document of either. A cluster is a component of
+near copies (operator 7), also for rows without an id; with ``near`` off only
+exact copies (ASCII case aside) are one, which saves the fingerprints. Bins stand in the order of
 what is left of them; the search starts at the smallest residual that holds
 the document and goes on to its successors until a bin's bitmaps agree, so the
 tightest compatible bin is found. Documents come longest first.
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import ascii_lower
+from kestrel.llm.simhash import grouped
 
 CAPACITY = 2048
 SHARD_ROWS = 4096
@@ -102,7 +105,7 @@ def _pack(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, near: bool = True) -> DataFrame:
     """(doc_id, piece, first_word, n_words, bin_id, place, bin_words): one row for each piece of each document.
 
     ``bin_words`` is what the whole bin holds; ``place`` the order inside it.
@@ -110,14 +113,18 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
     """
     words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), words.alias("words"), F.xxhash64(ascii_lower(F.col("text"))).alias("cluster"))
+    keys = [source.alias("source"), words.alias("words"), F.xxhash64(ascii_lower(F.col("text"))).alias("copy")]
+    if near:
+        rows = grouped(docs, keys).withColumnRenamed("root", "cluster")
+    else:
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys).withColumn("cluster", F.col("copy"))
     # a piece for each full ``capacity`` words and one for the rest
     last = F.when(F.col("words") % capacity == 0, F.expr(f"words div {capacity}") - 1).otherwise(F.expr(f"words div {capacity}"))
     pieces = rows.where("words > 0").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     pieces = pieces.withColumn("n_words", F.least(F.lit(capacity), F.col("words") - F.col("piece") * capacity).cast("int"))
     shards = max(1, -(-docs.count() // shard_rows))
     # rows without an id are spread by their text
-    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", "cluster"), "piece"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", "copy"), "piece"), F.lit(shards)).cast("int")
     dealt = pieces.select("doc_id", F.col("piece").cast("int").alias("piece"), "n_words", "source", "cluster", shard.alias("shard"))
     packed = dealt.groupBy("shard").applyInArrow(_pack(capacity), _OUT)
     none = rows.where("words = 0").select("doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("first_word"), F.lit(0).alias("n_words"),

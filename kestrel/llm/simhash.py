@@ -31,13 +31,14 @@ empty table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kestrel.llm.common import U64, slices, text_bytes
 from kestrel.llm.components import components
@@ -67,8 +68,10 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long): the fingerprint's 64 bits as a signed number."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: Sequence[Column] = ()) -> DataFrame:
+    """(doc_id, the columns ``carry``, fp long): the fingerprint's 64 bits as a signed number."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").cast("string").alias("text"))
+    schema = StructType([f for f in rows.schema if f.name != "text"]).add("fp", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,9 +79,9 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 data, off = text_bytes(part.column("text"))
                 raw = data.tobytes()
                 fp = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(off[:-1], off[1:], strict=True)], U64).view(np.int64)
-                yield pa.record_batch([part.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+                yield pa.record_batch([*(part.column(c) for c in schema.names[:-1]), pa.array(fp)], names=schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, schema)
 
 
 def _quarter(col, i: int):
@@ -170,13 +173,21 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) ->
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row for each row of ``docs``."""
+    out = grouped(docs, (), shingle, radius, tile_rows)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def grouped(docs: DataFrame, carry: Sequence[Column], shingle: int = SHINGLE, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(fp, doc_id, the columns ``carry``, root, component_id), one row for each row of ``docs``.
+
+    ``root`` names the component by a fingerprint, so it is there without any id too.
+    """
     shared_dir(docs.sparkSession)
-    fps = fingerprints(docs, shingle).checkpoint()
+    fps = fingerprints(docs, shingle, carry).checkpoint()
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first")).checkpoint()
     roots = components(links(nodes, radius, tile_rows))
     member = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = member.groupBy("root").agg(F.min("first").alias("component_id"))
     # checkpointed, so that the join below can split a fingerprint that very many documents share
-    member = member.join(least, "root").select("fp", "component_id").checkpoint()
-    out = fps.join(member, "fp")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    member = member.join(least, "root").select("fp", "root", "component_id").checkpoint()
+    return fps.join(member, "fp")

@@ -448,6 +448,28 @@ def test_packing(spark, odd, none):
     assert pack(none).count() == 0
 
 
+def test_no_bin_holds_two_of_a_cluster(spark):
+    from kestrel.llm.packing import pack
+    from kestrel.llm.simhash import near_duplicates
+
+    words = [f"word{i}" for i in range(90)]
+    near = [(20_000 + i, " ".join([*words[:80], f"end{i}"]), "en", f"source {i}", 1) for i in range(12)]
+    docs = docs_of(spark).union(spark.createDataFrame(near, docs_of(spark).schema))
+    cluster = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+    assert len({cluster[i] for i, *_ in near}) < len(near)
+    bins = defaultdict(list)
+    rows = pack(docs, 400, 64).collect()
+    for r in rows:
+        bins[r["bin_id"]].append(cluster[r["doc_id"]])
+    bins.pop(None, None)
+    assert max(map(len, bins.values())) > 1 and all(len(b) == len(set(b)) for b in bins.values())
+    # near copies without an id
+    lone = spark.createDataFrame([(None, *r[1:]) for r in near], docs.schema)
+    bins = [r["bin_id"] for r in pack(lone).collect()]
+    assert len(bins) == len(near) and len(set(bins)) > 1
+    assert sum(r["n_words"] for r in pack(docs, 400, 64, near=False).collect()) == sum(r["n_words"] for r in rows)
+
+
 # ---------------------------------------------------------------- 10
 
 def test_bit_packing_round_trip():
