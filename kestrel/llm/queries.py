@@ -144,3 +144,47 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return read_tokens(spark, path)
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from kestrel.llm.token_counts import count_tokens
+
+    out = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kestrel.llm.divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_source_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_FOLD}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT row, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+g AS (SELECT DISTINCT lang, source FROM d),
+cell AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n,
+                1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (coalesce(total, 0) + 2 * v)::HUGEINT AS p,
+                1 + (1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v)::HUGEINT AS q
+         FROM g JOIN kept ON g.lang = kept.lang JOIN l ON g.lang = l.lang
+         LEFT JOIN s ON g.lang = s.lang AND g.source = s.source
+         LEFT JOIN c ON g.lang = c.lang AND g.source = c.source AND kept.term = c.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM cell a JOIN cell b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+part AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+         UNION ALL
+         SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM cell WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM part)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
