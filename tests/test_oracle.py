@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kestrel.plans.registry import ORACLE, QUERIES, load_all
 from kestrel.sources.tables import TABLE_NAMES, Tables
 
-from conftest import SMALL
+from tests.settings import SMALL
 
 load_all()
 

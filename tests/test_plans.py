@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SMALL
+from tests.settings import SMALL
 
 QUERIES = E.queries()
 

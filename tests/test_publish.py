@@ -10,7 +10,7 @@ from kestrel.plans import q_match
 from kestrel.sinks import writers
 from kestrel.sources.tables import Tables
 
-from conftest import SMALL
+from tests.settings import SMALL
 
 
 def test_a_hot_partition_has_several_writers(spark, tmp_path):

@@ -9,7 +9,7 @@ from kestrel.session import scratch_path
 from kestrel.sources.tables import Tables
 from kestrel.streaming import streams
 
-from conftest import SMALL
+from tests.settings import SMALL
 
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
