@@ -188,3 +188,38 @@ part AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesc
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM part)
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kestrel.llm.conversation_trie import trie
+
+    return trie(table(spark, sf_dir, "conversations"))
+
+
+# crc32 of a decimal number, bit by bit over its characters
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({c} AS VARCHAR), ''), lambda s: ascii(s)::BIGINT)),
+          lambda x, y: list_reduce(list_prepend(xor(x, y), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda u, v: CASE WHEN u & 1 = 1 THEN xor(u >> 1, 3988292384) ELSE u >> 1 END)))"""
+ORACLE["op11_conversation_trie"] = f"""
+WITH o AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS d
+           FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, max(d) AS turns, {_CRC.format(c="c")} % 9 AS h, c - c % 5 AS base FROM o GROUP BY c),
+fam AS (SELECT own.c, own.h, own.base, least(own.h, coalesce(b.turns, 0)) AS taken FROM own LEFT JOIN own b ON b.c = own.base),
+t AS (SELECT o.c, d - h + taken AS d, role, text FROM o JOIN fam ON o.c = fam.c WHERE d > h
+      UNION ALL SELECT fam.c, d, role, text FROM fam JOIN o ON o.c = fam.base AND d <= h),
+turn AS (SELECT c, d, strlen(text) AS bytes, sha256(strlen(role) || ':' || role || text) AS s FROM t),
+seq AS (SELECT c, d, bytes, string_agg(s, '') OVER (PARTITION BY c ORDER BY d) AS s FROM turn UNION ALL SELECT c, 0, 0, '' FROM own),
+member AS (SELECT c, d, bytes, sha256(s) AS s, max(d) OVER (PARTITION BY c) AS len FROM seq),
+node AS (SELECT s, d, min(c) AS rep, count(*) AS n, max(bytes) AS bytes, max(len) AS deepest, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len = d) AS ends
+         FROM member GROUP BY s, d),
+up AS (SELECT DISTINCT m.s, m.d, p.s AS above FROM member m JOIN member p ON p.c = m.c AND p.d = m.d - 1),
+kids AS (SELECT above AS s, d - 1 AS d, count(*) AS n FROM up GROUP BY above, d),
+below AS (SELECT DISTINCT m.s, m.d, v.s AS under, v.d AS under_d FROM member m JOIN member v ON v.c = m.c AND v.d >= m.d),
+tree AS (SELECT below.s, below.d, sum((v.n - 1) * v.bytes) AS saved, count(*) FILTER (v.deepest = v.d) AS leaves
+         FROM below JOIN node v ON v.s = under AND v.d = under_d GROUP BY below.s, below.d)
+SELECT node.rep AS conv_id, node.d AS depth, parent.rep AS parent_conv_id, node.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(node.ends, '')) AS ends_sha256
+FROM node JOIN tree ON node.s = tree.s AND node.d = tree.d LEFT JOIN kids ON node.s = kids.s AND node.d = kids.d
+LEFT JOIN up ON node.s = up.s AND node.d = up.d LEFT JOIN node parent ON parent.s = up.above AND parent.d = node.d - 1
+"""
