@@ -15,44 +15,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators import retail, windows
+from kestrel.plans.q_windows import DEPOSITS, LEDGER_SQL, WITHDRAWALS
 from kestrel.plans.registry import query
 from kestrel.session import scratch_path
 from kestrel.sources.tables import Tables
-from kestrel.streaming import streams
+from kestrel.streaming import keyed, streams
 
 PIECES = 4
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 CONV_SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 SENTINEL_TS = dt.datetime(2100, 1, 1)
 SENTINEL_KIND = "__sentinel__"
-# Lateness tolerated. The pieces are staged in time order, so no row is later
-# than the one before it by more than a piece's own span, whatever the period.
-DELAY = "60 days"
-
-
-def stage(df: DataFrame, path: str, order: str | None, pieces: int = PIECES) -> str:
-    """Ranges of ``order`` are written one after another: a file stream takes its files by modification time."""
+# Lateness tolerated. The pieces are staged in time order and a batch is a piece,
+# so every row comes after those of the batches before, whatever the period.
+DELAY = "10 minutes"
+# Rows that a staged file holds at least, if there are several in a piece.
+FILE_ROWS = 250_000
+
+
+def stage(df: DataFrame, path: str, order: str | None, pieces: int = PIECES) -> int:
+    """Writes ``pieces`` ranges of ``order`` one after another (a file stream takes
+    its files by modification time), each with as many files as its rows need.
+    Returns the number of files in a piece: that many make a batch."""
+    files = max(1, df.count() // (2 * pieces * FILE_ROWS))
     if not order:
-        df.repartition(pieces).write.mode("overwrite").parquet(path)
-        return path
+        df.repartition(pieces * files).write.mode("overwrite").parquet(path)
+        return files
     spark, apart = df.sparkSession, f"{path}-ranges"
-    df.repartitionByRange(pieces, order).withColumn("_piece", F.spark_partition_id()).write.mode("overwrite").partitionBy("_piece").parquet(apart)
+    df.repartitionByRange(pieces * files, order).withColumn("_piece", F.floor(F.spark_partition_id() / files).cast("int")).write.mode("overwrite").partitionBy("_piece").parquet(apart)
     ranges = spark.read.schema(df.withColumn("_piece", F.lit(0)).schema).parquet(apart)
     for i in range(pieces):
-        # one file for each range, so that a batch is a range
-        ranges.where(F.col("_piece") == i).drop("_piece").coalesce(1).write.mode("append" if i else "overwrite").parquet(path)
-    return path
+        ranges.where(F.col("_piece") == i).drop("_piece").repartition(files).write.mode("append" if i else "overwrite").parquet(path)
+    return files
 
 
-def add_sentinel(spark: SparkSession, path: str) -> None:
-    row = [(-1, SENTINEL_TS, -1, SENTINEL_KIND, 0.0, "{}")]
+def add_sentinel(spark: SparkSession, path: str, kind: str = SENTINEL_KIND) -> None:
+    row = [(-1, SENTINEL_TS, -1, kind, 0.0, "{}")]
     spark.createDataFrame(row, EVENTS_SCHEMA).write.mode("append").parquet(path)
 
 
 def _events_stream(spark, sf, name: str):
     """(the events as a stream, the folder it reads)"""
-    src = stage(Tables(spark, sf).events, scratch_path(spark, f"{name}-in"), "ts")
-    return streams.file_stream(spark, src, EVENTS_SCHEMA), src
+    src = scratch_path(spark, f"{name}-in")
+    files = stage(Tables(spark, sf).events, src, "ts")
+    return streams.file_stream(spark, src, EVENTS_SCHEMA, max_files=files), src
 
 
 def _drain_to_files(df: DataFrame, spark, name: str, mode: str = "append") -> DataFrame:
@@ -61,11 +67,11 @@ def _drain_to_files(df: DataFrame, spark, name: str, mode: str = "append") -> Da
     return spark.read.parquet(out)
 
 
-def _drain_windows(df: DataFrame, spark, name: str, src: str, begin: str) -> DataFrame:
+def _drain_windows(df: DataFrame, spark, name: str, src: str, begin: str, kind: str = SENTINEL_KIND) -> DataFrame:
     """All windows of a windowed stream: the data to its end, then the sentinel in a run of its own."""
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     streams.run_until_drained(streams.start(df, ckpt, path=out))
-    add_sentinel(spark, src)
+    add_sentinel(spark, src, kind)
     streams.run_until_drained(streams.start(df, ckpt, path=out))
     return spark.read.parquet(out).filter(F.col(begin) < F.lit(SENTINEL_TS - dt.timedelta(days=1)))
 
@@ -132,8 +138,8 @@ FROM conversations"""
 
 
 def _length_totals(spark, sf, name: str) -> DataFrame:
-    src = stage(Tables(spark, sf).conversations, scratch_path(spark, f"{name}-in"), None)
-    s = streams.file_stream(spark, src, CONV_SCHEMA)
+    src = scratch_path(spark, f"{name}-in")
+    s = streams.file_stream(spark, src, CONV_SCHEMA, max_files=stage(Tables(spark, sf).conversations, src, None))
     return _drain_foreach(streams.length_totals(s, "text"), spark, name, streams.overwrite_each_batch, "complete")
 
 
@@ -237,3 +243,39 @@ def stream_session_windows(spark, sf):
     c = streams.session_windows(s, "user_id", "ts", 1800, DELAY)
     out = _drain_windows(c, spark, "sessions", src, "session_start")
     return out.select("user_id", _ntz("session_start"), _ntz("session_end"), "n_events")
+
+
+@query("stream_ledger", LEDGER_SQL + """
+SELECT user_id, event_id, ts, applied, balance FROM led""")
+def stream_ledger(spark, sf):
+    """STM-11: the ledger's refused-withdrawal rule on a stream, with one state
+    for each account in RocksDB; the stream stops and starts anew before the
+    sentinel, and goes on with the balances of its checkpoint."""
+    s, src = _events_stream(spark, sf, "ledger")
+    with keyed.rocksdb_state(spark):
+        led = keyed.stream_ledger(s, "user_id", streams.event_time("ts"), "event_id", "event_type", "value", DEPOSITS, WITHDRAWALS, DELAY)
+        # the sentinel must be a movement to get as far as the watermark
+        out = _drain_windows(led, spark, "ledger", src, "ts", DEPOSITS[0])
+    return out.select("user_id", F.col("id").alias("event_id"), _ntz("ts"), "applied", "balance")
+
+
+RUN_WIDTH, RUN_SLIDE = 300, 1
+
+
+@query("stream_sliding_runs", f"""
+WITH b AS (SELECT event_type AS word, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events),
+change AS (SELECT word, t, sum(d) AS d FROM (
+  SELECT word, sec + {RUN_SLIDE} - {RUN_WIDTH} AS t, 1 AS d FROM b UNION ALL SELECT word, sec + {RUN_SLIDE}, -1 FROM b) GROUP BY 1, 2 HAVING sum(d) <> 0),
+run AS (SELECT word, t, lead(t) OVER w AS until, sum(d) OVER w AS n FROM change WINDOW w AS (PARTITION BY word ORDER BY t))
+SELECT word, CAST(make_timestamp(t * 1000000) AS TIMESTAMP) AS first_start, CAST(make_timestamp((until - {RUN_SLIDE}) * 1000000) AS TIMESTAMP) AS last_start,
+       CAST(n AS BIGINT) AS count
+FROM run WHERE n > 0""")
+def stream_sliding_runs(spark, sf):
+    """STM-05 at the reference's 300 s every 1 s: word (event type) counts by
+    difference, as runs of windows with one count; an event makes two changes and
+    not 300 rows."""
+    s, src = _events_stream(spark, sf, "runs")
+    with keyed.rocksdb_state(spark):
+        runs = keyed.sliding_runs(streams.tokens(s, "event_type"), streams.event_time("ts"), "word", RUN_WIDTH, RUN_SLIDE, DELAY)
+        out = _drain_windows(runs, spark, "runs", src, "first_start")
+    return out.select("word", _ntz("first_start"), _ntz("last_start"), "count")
