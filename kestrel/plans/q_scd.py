@@ -11,8 +11,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from kestrel.operators import dimension as store
 from kestrel.operators import scd
 from kestrel.plans.registry import query
+from kestrel.session import scratch_path
 from kestrel.sources.tables import Tables
 
 LOAD_DATE = dt.date(2020, 1, 1)
@@ -79,7 +81,7 @@ def scd2_staged_updates(spark, sf):
     return scd.staged_updates(dimension(t), updates(t))
 
 
-@query("scd2_merge", STAGE_SQL + """,
+MERGE_SQL = STAGE_SQL + """,
 chg AS (SELECT u.customerId, u.address, u.effectiveDate FROM upd u JOIN dim c
         ON u.customerId = c.customerId WHERE c.current AND u.address <> c.address)
 SELECT d.customerId, d.address,
@@ -90,7 +92,23 @@ FROM dim d LEFT JOIN chg x ON d.customerId = x.customerId
 UNION ALL SELECT customerId, address, true, effectiveDate, CAST(NULL AS DATE) FROM chg
 UNION ALL SELECT customerId, address, true, effectiveDate, CAST(NULL AS DATE) FROM upd
           WHERE customerId NOT IN (SELECT customerId FROM dim)
-""")
+"""
+
+
+@query("scd2_merge", MERGE_SQL)
 def scd2_merge(spark, sf):
     t = Tables(spark, sf)
     return scd.scd2_merge(dimension(t), updates(t))
+
+
+@query("scd2_stored_merge", MERGE_SQL)
+def scd2_stored_merge(spark, sf):
+    """TBL-06 / JON-10 / PIP-04 / SRT-06: the dimension as a stored table, merged
+    copy on write; the updates sent once more change nothing and make no version;
+    read back in the order of keys."""
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "dimension")
+    store.create(dimension(t), base, buckets=8)
+    for _ in range(2):
+        store.merge(spark, base, updates(t))
+    return store.ordered(store.read(spark, base))
