@@ -7,13 +7,14 @@ of at least ``gap_seconds`` opens a new session; sessions are numbered from
 is kept as ``total_activity_time`` (Q10), with ``session_active_time``
 giving the same value with the idle gaps that open a session set to 0.
 
-Scale. The lag and the running sum are computed per (user, chunk), chunk
-being the day of the event, so a user with a third of all events is spread
-over as many tasks as it has days. A per-(user, day) table — one row per
-user-day, built from the chunk window and windowed per user — supplies
-the last timestamp of the previous day (for the first event of a day) and
-the number of sessions opened on earlier days. The result equals the
-plain per-user window exactly; tests compare the two.
+Scale. The lag and the running sum are computed per (user, chunk). Chunks are
+ranges of (user, time) between bounds sampled from the rows
+(``windows.sampled_chunks``), so a user with a third of all events is spread over
+a third of the chunks even if all of them fall into one hour. A carry table —
+one row per user and chunk, built from the chunk window and windowed per user —
+supplies the last timestamp of the previous chunk (for the first event of a
+chunk) and the number of sessions opened in earlier ones. The result equals
+the plain per-user window exactly; tests compare the two.
 """
 
 from __future__ import annotations
@@ -22,17 +23,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import epoch_seconds
-from kestrel.operators.windows import join_back
+from kestrel.operators.windows import join_back, sampled_chunks
 
 
 def assign_sessions(df: DataFrame, user: str = "user_id", ts: str = "ts",
-                    gap_seconds: int = 1800, chunk_unit: str = "day") -> DataFrame:
-    """PIP-05 (WIN-04, WIN-05, CND-02, STR-04, DAT-03), skew-safe form."""
+                    gap_seconds: int = 1800, chunk_unit: str | None = None, chunks: int | None = None) -> DataFrame:
+    """PIP-05 (WIN-04, WIN-05, CND-02, STR-04, DAT-03), skew-safe form.
+
+    ``chunks``: about how many ranges to sample (default: Spark's shuffle
+    partitions). With ``chunk_unit`` ("day", "hour") the chunks are calendar units
+    instead, which needs no sampling but leaves a hot unit in one task.
+    """
     base = df.select(
         F.col(user).alias("user_id"), F.col(ts).alias("logtime"),
         epoch_seconds(ts).alias("_t"),
-        F.to_date(ts).alias("source_date"),
-        (F.to_date(ts) if chunk_unit == "day" else F.date_trunc(chunk_unit, F.col(ts))).alias("_c"))
+        F.to_date(ts).alias("source_date"))
+    base = (base.withColumn("_c", F.date_trunc(chunk_unit, F.col("logtime"))) if chunk_unit
+            else sampled_chunks(base, "user_id", "logtime", chunks))
     w = Window.partitionBy("user_id", "_c").orderBy("logtime")
     inner = (base.withColumn("_prev", F.lag("_t").over(w))
              .withColumn("_flag", F.when(F.col("_prev").isNotNull() & (F.col("_t") - F.col("_prev") >= gap_seconds), 1)

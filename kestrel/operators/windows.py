@@ -5,7 +5,8 @@ Skew. A plain ``Window.partitionBy(key)`` sends every row of a key to one
 task; with one key holding a third of the data that task sorts a third of
 the data. The ordered operators here therefore take a *chunk* column — a
 coarse, order-preserving function of the order key (the day of a
-timestamp, by default) — and run the window on ``(key, chunk)``. What a
+timestamp, or the number that :func:`sampled_chunks` finds where a key is hot
+within any such unit) — and run the window on ``(key, chunk)``. What a
 row needs from outside its chunk (the neighbour rows at chunk borders,
 the totals of earlier chunks) comes from a per-(key, chunk) table that has
 one row per chunk: it is built by map-side combined aggregation and
@@ -16,10 +17,13 @@ null key or a null order value stay, as in the plain window.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import exact
+from kestrel.session import shared_dir
 
 
 def _cols(xs) -> list[str]:
@@ -35,6 +39,23 @@ def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame
     return rows.join(named, cond).drop(*[f"_k_{k}" for k in keys])
 
 
+def sampled_chunks(df: DataFrame, keys, order, chunks: int | None = None, alias: str = "_c") -> DataFrame:
+    """``df`` with a chunk number that rises with (keys, order) and holds about as
+    many rows as any other, however the rows lie in time.
+
+    The bounds are those of a range exchange, which Spark samples from the rows:
+    a key with a third of the rows gets a third of the chunks, be it within one
+    hour, while small keys share one. Rows equal in (keys, order) are in one
+    chunk, nulls come first. The chunk is the partition number, so the frame
+    is checkpointed in the shared folder: whatever reads it, and however often,
+    sees the same bounds.
+    """
+    by = [*_cols(keys), *_cols(order)]
+    parted = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
+    shared_dir(df.sparkSession)
+    return parted.withColumn(alias, F.spark_partition_id()).checkpoint()
+
+
 def centered_moving_avg(df: DataFrame, keys, order: str, tie: str, measures,
                         chunk: Column | None = None, suffix: str = "_ma", value_type: str | None = None) -> DataFrame:
     """WIN-01: average of the previous, current and next row per key
@@ -160,23 +181,44 @@ def suffix_max(df: DataFrame, group: str, order: str, value: str, tie: str | Non
             .drop("_c", "_in", "_out"))
 
 
+#: Two to this power is beyond every bigint, so no group has a result with more other values than that of 2 or more.
+_MOST_FACTORS = 64
+
+
 def product_except_self(df: DataFrame, group: str, value: str, alias: str = "product_others") -> DataFrame:
-    """WIN-09: product of all other rows of the group (order free).
-
-    Per group one aggregate keeps the product of the non-zero values and the
-    number of zeros (map-side combined, skew-safe); each row then divides
-    its own value out. The product is held as a double: where the group's product
-    of non-zero values reaches 2^53 the result is null, never a wrong number.
-    Zero handling follows the definition (one zero: only the zero's row is
-    non-zero; two or more: all zero). Null values take no part and give null.
+    """WIN-09: product of all other rows of the group (order free), exact, for a
+    column of whole numbers. A row's result is null only if it does not fit a
+    bigint itself.
+
+    A group is summed up map-side: its zeros, its negative values and its values
+    of 2 or more in size. If there are more than 64 of the latter, every result
+    without a zero in it is too large, and they are not looked at again; of the
+    other groups at most 64 numbers a group are multiplied, in decimal(38,0).
+    Beyond 38 digits no row of the group has a result that fits, so an overflow
+    means null; below, the row's own value divides the product without rest.
+    Null values take no part and give null; null groups are a group.
     """
-    v = F.col(value).cast("double")
-    g = df.groupBy(group).agg(
-        F.product(F.when(v != 0, v).otherwise(F.lit(1.0))).alias("_pnz"),
-        F.sum((v == 0).cast("int")).alias("_z"))
-    j = join_back(df, g, [group])
-    res = (F.when(F.col("_z") >= 2, F.lit(0.0))
-           .when(F.col("_z") == 1, F.when(v == 0, F.col("_pnz")).otherwise(F.lit(0.0)))
-           .otherwise(F.col("_pnz") / v))
-    exact_ = (F.abs("_pnz") < F.lit(2.0 ** 53)) | (res == 0)
-    return j.withColumn(alias, F.when(exact_, res).cast("bigint")).drop("_pnz", "_z")
+    kind = df.schema[value].dataType
+    if kind.typeName() not in ("byte", "short", "integer", "long") and not (kind.typeName() == "decimal" and kind.scale == 0):
+        raise ValueError(f"{value} is no column of whole numbers")
+    v = F.col(value).cast("decimal(38,0)")
+    sums = df.groupBy(group).agg(F.sum((v == 0).cast("bigint")).alias("_z"), F.sum((v < 0).cast("bigint")).alias("_neg"),
+                                 F.sum((F.abs(v) >= 2).cast("bigint")).alias("_m"))
+    few = sums.where(F.col("_m").between(1, _MOST_FACTORS)).select(group)
+    factors = join_back(df.where(F.abs(v) >= 2).select(group, F.abs(v).alias("_f")), few, [group])
+    one = F.lit(1).cast("decimal(38,0)")
+    product = F.aggregate(F.collect_list("_f"), one, lambda a, f: F.try_multiply(a, f).cast("decimal(38,0)"))
+    products = factors.groupBy(group).agg(product.alias("_p"))
+    named = products.select(F.col(group).alias("_k"), "_p")
+    per = sums.join(named, F.col(group).eqNullSafe(F.col("_k")), "left").withColumn("_p", F.when(F.col("_m") == 0, one).otherwise(F.col("_p"))).drop("_k")
+    j = join_back(df, per, [group]).withColumn("_v", F.abs(v))
+    # the size of the result is _p divided by the row's own size, or _p itself for the row of a group's only zero
+    own = F.when(F.col("_v") >= 2, F.col("_v")).otherwise(one)
+    limit = F.lit(Decimal(2 ** 63))
+    negative = (F.col("_neg") - (v < 0).cast("bigint")) % 2 == 1
+    size = F.expr("_p div greatest(_v, cast(1 as decimal(38,0)))")
+    room = own * limit
+    exact_ = (F.when(F.col("_p") < room, F.when(negative, -size).otherwise(size))
+              .when((F.col("_p") == room) & negative, F.lit(Decimal(-(2 ** 63))).cast("bigint")))
+    res = F.when(v.isNull(), F.lit(None)).when((F.col("_z") >= 2) | ((F.col("_z") == 1) & (v != 0)), F.lit(0)).otherwise(exact_)
+    return j.withColumn(alias, res.cast("bigint")).drop("_z", "_neg", "_m", "_p", "_v")
