@@ -42,9 +42,9 @@ from kestrel.llm.common import LOWER, Words, slices, text_bytes, work_path
 
 MIN_DOCS, TOP = 10, 10
 #: (term, source) cells that one matrix is aimed at.
-CELLS = 1 << 20
+CELLS = 1 << 17
 #: Rows that a counting task holds before it adds equal ones up and sends what is left, and those of a skyband task.
-HELD, BAND_ROWS = 1 << 20, 1 << 18
+HELD, BAND_ROWS = 1 << 19, 1 << 18
 SCALE = 1_000_000_000
 
 #: Terms are runs of a-z and of everything beyond ASCII (for lower-cased texts).
