@@ -11,7 +11,7 @@ Design notes for scale
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import money, money_sum
@@ -156,12 +156,30 @@ def distinct_pairs(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def latest_partition(df: DataFrame, date_col: str) -> DataFrame:
-    """AGG-05 + SRT-05: the latest day present and its row count (one row).
+    """AGG-05 + SRT-05: the latest day present and its row count (one row; none
+    for a table without a day).
 
-    Daily counts are a map-side combined groupBy; the top-1 is a
-    TakeOrderedAndProject, so only one row per task reaches the driver side.
+    The day is one ``max``, a single number from each task; the count reads the
+    rows at or after its midnight, a bound that reaches the scan, where partitions
+    and row groups before it are skipped by their statistics.
     """
-    daily = df.groupBy(F.to_date(date_col).alias("latest_date")).agg(
-        F.count(F.lit(1)).alias("rows_on_latest"))
-    return daily.orderBy(F.desc("latest_date")).limit(1)
-
+    last = df.agg(F.max(date_col).alias("d")).select(F.to_date("d").alias("d")).first()["d"]
+    out = "latest_date date, rows_on_latest bigint"
+    if last is None:
+        return df.sparkSession.createDataFrame([], out)
+    kind = df.schema[date_col].dataType
+    rows = df.where(F.col(date_col) >= F.lit(last).cast(kind))
+    return rows.groupBy().agg(F.lit(last).alias("latest_date"), F.count(F.lit(1)).alias("rows_on_latest"))
+
+
+def latest_stored_partition(spark: SparkSession, table: str, column: str) -> DataFrame:
+    """AGG-05 + SRT-05 on a table partitioned by ``column``: the rows of its
+    greatest partition. Which one that is, the catalogue's list of partitions
+    says, so no file is opened for it; only that partition's files are read. No
+    rows if there is no partition, or none with a value."""
+    kind = spark.table(table).schema[column].dataType
+    text = F.regexp_extract("partition", f"(?:^|/){column}=([^/]*)", 1)
+    # file names write special characters as %XX; a plus stands for itself
+    value = F.when(text != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))).cast(kind))
+    last = spark.sql(f"SHOW PARTITIONS {table}").select(F.max(value).alias("v")).first()["v"]
+    return spark.table(table).where(F.lit(False) if last is None else F.col(column) == F.lit(last).cast(kind))

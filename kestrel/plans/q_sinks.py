@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from kestrel.operators import retail
 from kestrel.plans.registry import query
 from kestrel.session import scratch_path
 from kestrel.sinks import writers
@@ -82,15 +83,19 @@ SELECT o.o_orderkey, o.o_orderstatus, CAST(count(*) AS BIGINT) AS line_count,
        CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2""")
 def sink_bucketed(spark, sf):
-    """TBL-02 / SNK-06: orders partitioned by status and bucketed by key into
-    4 buckets, lineitem bucketed the same way; their join and the
+    """TBL-02 / SNK-06: orders partitioned by status and bucketed by key,
+    lineitem bucketed the same way, as many buckets as the larger one needs; one
+    half of each is loaded, the other inserted in two goes. Their join and the
     aggregation by order key read matching buckets without an exchange."""
     t = Tables(spark, sf)
     ot, lt = _name("orders_b"), _name("lineitem_b")
-    writers.bucketed_table(t.orders.select("o_orderkey", "o_orderstatus"), ot, scratch_path(spark, "orders-b"),
-                           "o_orderstatus", "o_orderkey", 4)
-    writers.bucketed_table(t.lineitem.select("l_orderkey", "l_extendedprice", "l_returnflag"), lt,
-                           scratch_path(spark, "lineitem-b"), "l_returnflag", "l_orderkey", 4)
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    lines = t.lineitem.select("l_orderkey", "l_extendedprice", "l_returnflag")
+    n = writers.bucket_count(lines)
+    for df, name, place, part, key in ((orders, ot, "orders-b", "o_orderstatus", "o_orderkey"), (lines, lt, "lineitem-b", "l_returnflag", "l_orderkey")):
+        writers.bucketed_table(df.where(F.col(key) % 2 == 0), name, scratch_path(spark, place), part, key, n)
+        for rest in (1, 3):
+            writers.append_bucketed(df.where(F.col(key) % 4 == rest), name)
     o, li = spark.table(ot), spark.table(lt)
     j = o.join(li, o.o_orderkey == li.l_orderkey)
     return j.groupBy("o_orderkey", "o_orderstatus").agg(
@@ -98,6 +103,19 @@ def sink_bucketed(spark, sf):
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue"))
 
 
+@query("latest_stored_partition", """
+SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m') AS order_month FROM orders
+WHERE strftime(o_orderdate, '%Y-%m') = (SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders)""")
+def latest_stored_partition(spark, sf):
+    """AGG-05 / SRT-05: the newest month of a table partitioned by month, found in
+    the catalogue; the scan lists that one partition."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM").alias("order_month"))
+    table = _name("orders_monthly")
+    writers.create_partitioned_table(spark, table, "o_orderkey bigint, o_orderstatus string, order_month string", ["order_month"], scratch_path(spark, "orders-monthly"))
+    writers.insert_overwrite(o, table)
+    return retail.latest_stored_partition(spark, table, "order_month")
+
+
 _CODECS = (("parquet", "gzip"), ("orc", "snappy"), ("parquet", "zstd"))
 
 

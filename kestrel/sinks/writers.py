@@ -130,13 +130,43 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def bucketed_table(df: DataFrame, name: str, path: str, partition_col: str, bucket_col: str, buckets: int = 4,
-                   fmt: str = "parquet") -> None:
+#: Rows that a bucket is aimed at.
+BUCKET_ROWS = 5_000_000
+
+
+def bucket_count(df: DataFrame, least: int = 4, rows: int = BUCKET_ROWS) -> int:
+    """Buckets for a table of this size, a power of two, so that tables of unlike
+    size have counts that divide one another."""
+    need = max(least, -(-df.count() // rows))
+    return 1 << (need - 1).bit_length()
+
+
+def bucketed_table(df: DataFrame, name: str, path: str, partition_col: str, bucket_col: str, buckets: int | None = None,
+                   fmt: str = "parquet") -> int:
     """TBL-02 / SNK-06: partitioned + bucketed table. A later join or
     aggregation on ``bucket_col`` between tables with the same bucketing
-    reads co-located buckets without an exchange."""
-    (df.write.format(fmt).mode("overwrite").option("path", path)
-     .partitionBy(partition_col).bucketBy(buckets, bucket_col).sortBy(bucket_col).saveAsTable(name))
+    reads co-located buckets without an exchange. The number of buckets, by
+    default from the size of ``df``, is returned."""
+    n = buckets or bucket_count(df)
+    (df.repartition(n, bucket_col).write.format(fmt).mode("overwrite").option("path", path)
+     .partitionBy(partition_col).bucketBy(n, bucket_col).sortBy(bucket_col).saveAsTable(name))
+    return n
+
+
+def append_bucketed(df: DataFrame, table: str) -> None:
+    """SNK-06: INSERT INTO a partitioned and bucketed table, columns by name.
+
+    Rows are dealt out by the table's own bucket function first, so a task holds
+    whole buckets and an insert adds one file a bucket and partition, not one for
+    each task besides. The table's layout stays, and joins on the bucket column
+    still need no exchange.
+    """
+    spark = df.sparkSession
+    meta = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    n = int(meta["Num Buckets"])
+    by = [c.strip("`[] ") for c in meta["Bucket Columns"].strip("[]").split(",")]
+    cols = [f.name for f in spark.table(table).schema.fields]
+    df.select(*cols).repartition(n, *by).write.insertInto(table)
 
 
 def extract_csv(df: DataFrame, base: str, name: str, compression: str = "gzip", header: bool = False,
