@@ -94,13 +94,23 @@ def centered_moving_avg(df: DataFrame, keys, order: str, tie: str, measures,
     return out.drop(*drop)
 
 
+def running_totals(df: DataFrame, keys, measures, value_type: str | None = None) -> DataFrame:
+    """Per key the exact sum and the count of each measure, as ``running_avg`` takes them for an opening."""
+    aggs = []
+    for m in _cols(measures):
+        aggs += [F.sum(exact(F.col(m), df.schema[m].dataType, value_type)).alias(f"{m}_sum"), F.count(m).alias(f"{m}_count")]
+    return df.groupBy(*_cols(keys)).agg(*aggs)
+
+
 def running_avg(df: DataFrame, keys, order: Column, measures, chunk: Column,
-                suffix: str = "_avg", value_type: str | None = None) -> DataFrame:
+                suffix: str = "_avg", value_type: str | None = None, opening: DataFrame | None = None) -> DataFrame:
     """WIN-02: average from the first row of the key up to the current row
     and its peers (the default RANGE frame of an ordered window).
 
     ``order`` must be a column expression; ``chunk`` an order-preserving
-    coarsening of it (peers then always share a chunk).
+    coarsening of it (peers then always share a chunk). ``opening`` holds what
+    came before the rows of ``df``: at most one row per key, with
+    ``<measure>_sum`` and ``<measure>_count`` (see :func:`running_totals`).
     """
     keys = _cols(keys)
     measures = _cols(measures)
@@ -121,9 +131,18 @@ def running_avg(df: DataFrame, keys, order: Column, measures, chunk: Column,
     chunks = chunks.select(*sel)
     out = join_back(inner, chunks, [*keys, "_c"])
     drop = ["_o", "_c"]
+    if opening is not None:
+        named = opening.select(*[F.col(k).alias(f"_ok_{k}") for k in keys], *[F.col(f"{m}_{x}").alias(f"_o{x}_{m}") for m in measures for x in ("sum", "count")])
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_ok_{k}"))
+        out = out.join(named, cond, "left").drop(*[f"_ok_{k}" for k in keys])
     for m in measures:
         s = F.coalesce(F.col(f"_s_{m}"), F.lit(0)) + F.col(f"_bs_{m}")
         k = F.col(f"_k_{m}") + F.col(f"_bk_{m}")
+        if opening is not None:
+            s, k = s + F.coalesce(F.col(f"_osum_{m}"), F.lit(0)), k + F.coalesce(F.col(f"_ocount_{m}"), F.lit(0))
+            drop += [f"_osum_{m}", f"_ocount_{m}"]
         out = out.withColumn(m + suffix, F.when(k > 0, s.cast("double") / k.cast("double")))
         drop += [f"_s_{m}", f"_k_{m}", f"_bs_{m}", f"_bk_{m}"]
     return out.drop(*drop)

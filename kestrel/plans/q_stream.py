@@ -14,7 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.operators import retail, windows
+from kestrel.functions.scalars import epoch_seconds
+from kestrel.operators import arrivals, retail, windows
 from kestrel.plans.q_windows import DEPOSITS, LEDGER_SQL, WITHDRAWALS
 from kestrel.plans.registry import query
 from kestrel.session import scratch_path
@@ -130,6 +131,53 @@ def stream_file_arrival(spark, sf):
     return out.select("event_id", "event_type", "user_id", "ts", "value", "value_ma", "file_day")
 
 
+GATE_BEFORE, GATE_AFTER, GATE_NEED = 6, 1, 7
+MEASURES = {"value": "value", "n_props": "length(props)", "bought": "CASE WHEN event_type = 'purchase' THEN value END", "hour": "hour(ts)"}
+# Arrives after all others; until then its own day and the days that need it wait.
+LATE_DAY = 12
+
+
+@query("stream_gated_averages", f"""
+WITH e AS (SELECT event_id, event_type, user_id, ts, CAST(ts AS DATE) AS day, CAST(floor(epoch(ts)) AS BIGINT) AS sec,
+                  {", ".join(f"{x} AS m_{m}" for m, x in MEASURES.items())} FROM events),
+days AS (SELECT DISTINCT day FROM e),
+gate AS (SELECT a.day FROM days a JOIN days b ON b.day BETWEEN a.day - {GATE_BEFORE} AND a.day + {GATE_AFTER}
+         GROUP BY a.day HAVING count(*) >= {GATE_NEED})
+SELECT a.event_id, a.event_type, a.user_id, a.ts, a.day,
+       {", ".join(f"CAST(sum(CAST(b.m_{m} AS DECIMAL(28,10))) AS DOUBLE) / CAST(nullif(count(b.m_{m}), 0) AS DOUBLE) AS {m}_avg" for m in MEASURES)}
+FROM e a JOIN gate ON a.day = gate.day
+JOIN e b ON a.event_type IS NOT DISTINCT FROM b.event_type AND a.user_id IS NOT DISTINCT FROM b.user_id
+        AND b.day BETWEEN a.day - {GATE_BEFORE} AND a.day AND b.sec <= a.sec
+GROUP BY ALL""")
+def stream_gated_averages(spark, sf):
+    """PIP-15 with AGG-18, PIP-14's partition write: day files arrive as a
+    stream, one of them after all others; four running averages over the last
+    week of a key, written by the day once its gate is open. Days before the
+    arrived ones enter by their stored totals and are not read."""
+    ev = Tables(spark, sf).events.select("event_id", "event_type", "user_id", "ts", F.to_date("ts").alias("arrival_day"), *[F.expr(x).alias(m) for m, x in MEASURES.items()])
+    src, late = scratch_path(spark, "gated-in"), F.dayofmonth("arrival_day") == LATE_DAY
+    staged = [ev.where(~late), ev.where(late)]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ev.drop("arrival_day").schema.fields)
+    job = arrivals.Job(scratch_path(spark, "gated"), ["event_type", "user_id"], list(MEASURES), epoch_seconds("ts"), F.date_trunc("hour", F.col("ts")),
+                       GATE_BEFORE, GATE_AFTER, GATE_NEED)
+
+    def rows_of(days: list) -> DataFrame:
+        all_ = spark.read.schema(f"{schema}, arrival_day date").parquet(src)
+        return all_.where(F.col("arrival_day").isin(days)).withColumnRenamed("arrival_day", "day")
+
+    def run(batch: DataFrame, _batch_id: int) -> None:
+        # one row for each day that has come
+        arrivals.process(spark, [r["day"] for r in batch.select("day").distinct().collect()], rows_of, job)
+
+    name = F.regexp_extract(F.input_file_name(), r"arrival_day=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
+    ckpt = scratch_path(spark, "gated-ckpt")
+    for part in staged:
+        part.hint("rebalance", "arrival_day").write.mode("append").partitionBy("arrival_day").parquet(src)
+        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).option("recursiveFileLookup", "true").parquet(src)
+        streams.run_until_drained(streams.start(s.select(name.cast("date").alias("day")), ckpt, foreach_batch=run))
+    return arrivals.output(spark, job).select("event_id", "event_type", "user_id", "ts", "day", *[f"{m}_avg" for m in MEASURES])
+
+
 _LENGTH_SQL = """
 SELECT CAST(count(*) AS BIGINT) AS total_messages, CAST(sum(length(text)) AS BIGINT) AS total_chars,
        CAST(sum(length(text)) // count(*) AS BIGINT) AS avg_length_int,
