@@ -52,14 +52,36 @@ def ids(gold: DataFrame) -> DataFrame:
             .select("file_name", "uhid"))
 
 
-def unhashed_ips(gold: DataFrame, hash_map: DataFrame) -> DataFrame:
+def unhashed_ips(gold: DataFrame, hash_map: DataFrame, since=None) -> DataFrame:
     """PIP-13 third extract (JON-02): hashed ips of the gold rows turned back
-    into ips through the hash map (its distinct (hash, ip) pairs)."""
-    m = hash_map.select("hash_ip_addr", "ip").distinct()
+    into ips through the hash map.
+
+    Of the map only the pairs that the gold rows ask for are brought to one
+    each, not every pair of every date; ``since`` (a date) leaves out older
+    partitions of the map unread."""
     h = gold.filter(F.length("hash_ip_addr") > 2).select("file_name", "hash_ip_addr")
+    m = hash_map if since is None else hash_map.where(F.col("source_date") >= F.lit(since))
+    m = m.join(h.select("hash_ip_addr").distinct(), "hash_ip_addr", "left_semi").select("hash_ip_addr", "ip").distinct()
     return h.join(m, "hash_ip_addr").select("file_name", F.col("ip").alias("unhash_ip_addr"))
 
 
+#: The extracts by kind, each of (gold rows, hash map), their column, and what their file names begin with.
+EXTRACTS = {"nu": lambda gold, _map: partner_ids(gold), "uh": lambda gold, _map: ids(gold), "ip": unhashed_ips}
+COLUMNS = {"nu": "nu_uhid", "uh": "uhid", "ip": "unhash_ip_addr"}
+PREFIX = {"nu": "", "uh": "uh_", "ip": "ip_"}
+
+
+def publish_extracts(gold: DataFrame, hash_map: DataFrame, base: str) -> str:
+    """PIP-13 / SNK-10 / STR-08: all three extracts below ``<base>/published/``, one
+    directory for each of ``<file>``, ``uh_<file>`` and ``ip_<file>``, written in
+    one job; a file's earlier extracts are replaced."""
+    out = None
+    for kind, make in EXTRACTS.items():
+        part = make(gold, hash_map).select(F.concat(F.lit(PREFIX[kind]), "file_name").alias("file_name"), F.col(COLUMNS[kind]).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return write_extract(out, base, "published")
+
+
 def write_extract(df: DataFrame, base: str, kind: str, files: int | None = None) -> str:
     """SNK-09 / SNK-10: headerless gzip CSV, one directory per file name under
     ``<base>/<kind>/``; overwrite replaces an earlier extract of the same

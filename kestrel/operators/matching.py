@@ -9,6 +9,7 @@ broadcasts a table whose size grows with the data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from kestrel.operators.windows import latest_per_key
 from kestrel.session import shared_dir
+from kestrel.sources.readers import read_if_there
 
 INPUT_FIELDS = ("input_street", "input_secondary", "input_zip", "input_city", "input_state")
 STD_FIELDS = ("std_delivery_line_1", "std_delivery_line_2", "std_zipcode", "std_city", "std_state")
@@ -97,40 +99,89 @@ def rules_standardizer(batch: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+def _calls(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """The rows of a partition in frames of ``size``, whatever its Arrow batches are; the last one may be shorter."""
+    held: list[pd.DataFrame] = []
+    n = 0
+    for pdf in batches:
+        held.append(pdf)
+        n += len(pdf)
+        if n >= size:
+            rows = pd.concat(held, ignore_index=True)
+            whole = n - n % size
+            for lo in range(0, whole, size):
+                yield rows.iloc[lo:lo + size].reset_index(drop=True)
+            held, n = [rows.iloc[whole:]], n - whole
+    if n:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _replies(standardizer: Callable[[pd.DataFrame], pd.DataFrame], rows: pd.DataFrame) -> pd.DataFrame:
+    """One call: the standard fields and ``std_error`` for each row."""
+    try:
+        res = standardizer(rows[list(INPUT_FIELDS)])
+        if len(res) != len(rows):
+            raise ValueError(f"{len(res)} replies to {len(rows)} addresses")
+        res = res[list(STD_FIELDS)].reset_index(drop=True).astype(object)
+        res = res.where(res.notna(), None)
+        res["std_error"] = None
+    except Exception:  # noqa: BLE001 - any failure of the service call
+        res = pd.DataFrame({c: [None] * len(rows) for c in STD_FIELDS})
+        res["std_error"] = REASON_STANDARDIZER_ERROR
+    return res
+
+
 def standardize_batches(df: DataFrame, standardizer: Callable[[pd.DataFrame], pd.DataFrame] = rules_standardizer,
                         batch_size: int = 100) -> DataFrame:
     """UDF-04 with a pluggable batch standardiser (e.g. a client of an
     address service that takes ``batch_size`` addresses per call).
 
-    ``mapInPandas`` streams each partition in Arrow batches and cuts them
-    into calls of ``batch_size`` rows; the iterator knows where a partition
-    ends, so no per-partition row count is needed. A call that raises or
-    answers with another number of rows marks its rows with ``std_error`` (they become rejects, Q30) instead of
-    losing them.
+    ``mapInPandas`` streams each partition and cuts it into calls of
+    ``batch_size`` rows across its Arrow batches, so only a partition's last call
+    is not full. A call that raises or answers with another number of rows marks
+    its rows with ``std_error`` (they become rejects, Q30) instead of losing them.
     """
     fields = list(df.schema.fields) + [StructField(c, StringType()) for c in STD_FIELDS] + \
         [StructField("std_error", StringType())]
-    schema = StructType(fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            parts = []
-            for lo in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[lo:lo + batch_size]
-                try:
-                    res = standardizer(chunk[list(INPUT_FIELDS)].reset_index(drop=True))
-                    if len(res) != len(chunk):
-                        raise ValueError(f"{len(res)} replies to {len(chunk)} addresses")
-                    res = res[list(STD_FIELDS)].astype(object).where(res[list(STD_FIELDS)].notna(), None)
-                    res["std_error"] = None
-                except Exception:  # noqa: BLE001 - any failure of the service call
-                    res = pd.DataFrame({c: [None] * len(chunk) for c in STD_FIELDS})
-                    res["std_error"] = REASON_STANDARDIZER_ERROR
-                parts.append(pd.concat([chunk.reset_index(drop=True), res], axis=1))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
-
-    return df.mapInPandas(run, schema)
+        for rows in _calls(batches, batch_size):
+            yield pd.concat([rows, _replies(standardizer, rows)], axis=1)
+
+    return df.mapInPandas(run, StructType(fields))
+
+
+def standardize_lookup(df: DataFrame, store: str, standardizer: Callable[[pd.DataFrame], pd.DataFrame] = rules_standardizer,
+                       batch_size: int = 100) -> DataFrame:
+    """UDF-04 as a lookup that fills itself: ``standardize_batches`` with the replies kept in the Parquet table ``store``.
+
+    An address is the five input fields, as ``prepare_input`` normalises them
+    (null is ''). Only addresses that the store does not know are sent, each of
+    them once, in full calls; the replies are written first and then added to the
+    store, so nothing below asks the service again. Failed calls are not kept:
+    their rows carry ``std_error``, and the next run sends them anew. All rows of an
+    address take its one reply by an equi join, so a frequent address costs one
+    row on the reply side and Spark splits it on the other.
+    """
+    spark = df.sparkSession
+    key = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in INPUT_FIELDS]
+    asked = df.select(*key).distinct()
+    reply = ", ".join(f"{c} string" for c in (*INPUT_FIELDS, *STD_FIELDS))
+    known = read_if_there(spark, store, reply)
+    unknown = asked if known is None else asked.join(known, list(INPUT_FIELDS), "left_anti")
+    sent = f"{shared_dir(spark)}/kestrel/replies-{uuid.uuid4().hex[:12]}"
+    standardize_batches(unknown, standardizer, batch_size).write.parquet(sent)
+    fresh = spark.read.schema(f"{reply}, std_error string").parquet(sent)
+    fresh.where("std_error is null").drop("std_error").write.mode("append").parquet(store)
+    # two runs at a time can both have added an address
+    have = spark.read.schema(reply).parquet(store).join(asked, list(INPUT_FIELDS), "left_semi").dropDuplicates(list(INPUT_FIELDS))
+    have = have.withColumn("std_error", F.lit(None).cast("string"))
+    failed = fresh.where("std_error is not null").join(have, list(INPUT_FIELDS), "left_anti")
+    lookup = have.unionByName(failed).select(*[F.col(c).alias(f"_k_{c}") for c in INPUT_FIELDS], *STD_FIELDS, "std_error")
+    cond = F.lit(True)
+    for c in INPUT_FIELDS:
+        cond = cond & (F.coalesce(F.col(c), F.lit("")) == F.col(f"_k_{c}"))
+    return df.join(lookup, cond, "left").drop(*[f"_k_{c}" for c in INPUT_FIELDS])
 
 
 def route_rejects(std: DataFrame) -> DataFrame:

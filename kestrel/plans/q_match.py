@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.scalars import decrypt_id, encrypt_id, hash_ip
 from kestrel.operators import extracts, matching
 from kestrel.plans.registry import query
-from kestrel.session import scratch_path, shared_dir
+from kestrel.session import Scope, scratch_path, shared_dir
 from kestrel.sinks import writers
 from kestrel.sources.tables import Tables
 
@@ -95,13 +95,12 @@ def ip_history(t: Tables) -> DataFrame:
                            F.col("o_orderdate").alias("dtm_last_modified"))
 
 
-def standardized(t: Tables, batches: bool = False) -> DataFrame:
-    src = matching.prepare_input(onboarding(t), "address", "city", "state", "zip")
-    return matching.standardize_batches(src) if batches else matching.standardize_columns(src)
+def prepared(t: Tables) -> DataFrame:
+    return matching.prepare_input(onboarding(t), "address", "city", "state", "zip")
 
 
 def routed(t: Tables) -> DataFrame:
-    return matching.route_rejects(standardized(t))
+    return matching.route_rejects(matching.standardize_columns(prepared(t)))
 
 
 def matched(t: Tables, rows: DataFrame | None = None) -> DataFrame:
@@ -259,22 +258,36 @@ gold AS (SELECT k.segment_id, i.uhid, i.nu_uhid,
 _SRC = "segment_name, advertiser_name, file_name"
 
 
-@query("match_standardize_batches", "WITH " + FIXTURE_SQL + f"""
+STANDARDIZED_SQL = "WITH " + FIXTURE_SQL + f"""
 SELECT {_SRC}, input_street, input_secondary, input_zip, input_city, input_state,
        std_delivery_line_1, std_delivery_line_2, std_zipcode, std_city, std_state, CAST(NULL AS VARCHAR) AS std_error
-FROM std""")
+FROM std"""
+
+
+@query("match_standardize_batches", STANDARDIZED_SQL)
 def match_standardize_batches(spark, sf):
     """UDF-04: the batch standardiser path (mapInPandas, 100 rows per call)."""
-    return standardized(Tables(spark, sf), batches=True)
+    return matching.standardize_batches(prepared(Tables(spark, sf)))
+
+
+@query("match_standardize_lookup", STANDARDIZED_SQL)
+def match_standardize_lookup(spark, sf):
+    """UDF-04 as a lookup that fills itself: the files of one segment first, then
+    all of them; the second run sends only what the first has not stored."""
+    src, store = prepared(Tables(spark, sf)), scratch_path(spark, "addresses")
+    matching.standardize_lookup(src.where("segment_name = 'building'"), store)
+    return matching.standardize_lookup(src, store)
 
 
 @query("match_address_left", "WITH " + FIXTURE_SQL + f"""
 SELECT {_SRC}, input_street AS src_street, input_zip AS src_zipcode, input_city AS src_city,
        input_state AS src_state, uhid FROM matched""")
 def match_address_left(spark, sf):
-    """JON-05 / STR-02 / HSH-02: standardised rows left-joined to the address
-    master on five normalised fields; decrypted id or '-1'."""
-    m = matched(Tables(spark, sf))
+    """JON-05 / STR-02 / HSH-02 / UDF-04: rows standardised through the stored
+    replies, left-joined to the address master on five normalised fields;
+    decrypted id or '-1'."""
+    t = Tables(spark, sf)
+    m = matched(t, matching.route_rejects(matching.standardize_lookup(prepared(t), scratch_path(spark, "addresses"))))
     return m.select("segment_name", "advertiser_name", "file_name", F.col("input_street").alias("src_street"),
                     F.col("input_zip").alias("src_zipcode"), F.col("input_city").alias("src_city"),
                     F.col("input_state").alias("src_state"), "uhid")
@@ -389,31 +402,50 @@ def extract_hash_map(spark, sf):
     return extracts.upkeep_hash_map(spark, _segment_ips(t), path, IP_SALT)
 
 
-@query("extract_partner_ids", GOLD_SQL + "SELECT file_name, nu_uhid FROM gold WHERE length(nu_uhid) > 2")
-def extract_partner_ids(spark, sf):
+NU_SQL = "SELECT file_name, nu_uhid FROM gold WHERE length(nu_uhid) > 2"
+UH_SQL = "SELECT file_name, uhid FROM gold WHERE length(uhid) > 2 AND (length(nu_uhid) > 2 OR length(hash_ip_addr) > 2)"
+IP_SQL = f"""SELECT g.file_name, m.ip AS unhash_ip_addr
+FROM gold g JOIN (SELECT DISTINCT sha256('{IP_SALT}' || ip_addr) AS hash_ip_addr, ip_addr AS ip FROM isp) m ON g.hash_ip_addr = m.hash_ip_addr
+WHERE length(g.hash_ip_addr) > 2"""
+
+
+def _one_extract(spark, sf, kind: str) -> DataFrame:
+    t = Tables(spark, sf)
     base = scratch_path(spark, "extracts")
-    g = spark.table(publish_gold(spark, Tables(spark, sf)))
-    p = extracts.write_extract(extracts.partner_ids(g), base, "nu")
-    return extracts.read_extract(spark, p, "nu_uhid")
+    with Scope(spark) as scope:
+        g = scope.persist(spark.table(publish_gold(spark, t)))
+        hm = extracts.upkeep_hash_map(spark, _segment_ips(t), scratch_path(spark, "hash-map"), IP_SALT) if kind == "ip" else None
+        path = extracts.write_extract(extracts.EXTRACTS[kind](g, hm), base, kind)
+    return extracts.read_extract(spark, path, extracts.COLUMNS[kind])
+
+
+@query("extract_partner_ids", GOLD_SQL + NU_SQL)
+def extract_partner_ids(spark, sf):
+    return _one_extract(spark, sf, "nu")
 
 
-@query("extract_ids", GOLD_SQL + """
-SELECT file_name, uhid FROM gold WHERE length(uhid) > 2 AND (length(nu_uhid) > 2 OR length(hash_ip_addr) > 2)""")
+@query("extract_ids", GOLD_SQL + UH_SQL)
 def extract_ids(spark, sf):
-    base = scratch_path(spark, "extracts")
-    g = spark.table(publish_gold(spark, Tables(spark, sf)))
-    p = extracts.write_extract(extracts.ids(g), base, "uh")
-    return extracts.read_extract(spark, p, "uhid")
+    return _one_extract(spark, sf, "uh")
 
 
-@query("extract_unhash_ip", GOLD_SQL + f""",
-hm AS (SELECT DISTINCT sha256('{IP_SALT}' || ip_addr) AS hash_ip_addr, ip_addr AS ip FROM isp)
-SELECT g.file_name, m.ip AS unhash_ip_addr FROM gold g JOIN hm m ON g.hash_ip_addr = m.hash_ip_addr
-WHERE length(g.hash_ip_addr) > 2""")
+@query("extract_unhash_ip", GOLD_SQL + IP_SQL)
 def extract_unhash_ip(spark, sf):
+    return _one_extract(spark, sf, "ip")
+
+
+@query("extract_all", GOLD_SQL + f"""
+SELECT file_name AS extract, nu_uhid AS value FROM ({NU_SQL})
+UNION ALL SELECT 'uh_' || file_name, uhid FROM ({UH_SQL})
+UNION ALL SELECT 'ip_' || file_name, unhash_ip_addr FROM ({IP_SQL})""")
+def extract_all(spark, sf):
+    """PIP-13 / SNK-10 / STR-08 / PRT-05: the three extracts of one gold publish,
+    read once into a persisted frame, under the caller's file names: ``<file>``,
+    ``uh_<file>`` and ``ip_<file>``; what was kept for them is given back."""
     t = Tables(spark, sf)
-    hm = extracts.upkeep_hash_map(spark, _segment_ips(t), scratch_path(spark, "hash-map"), IP_SALT)
     base = scratch_path(spark, "extracts")
-    g = spark.table(publish_gold(spark, t))
-    p = extracts.write_extract(extracts.unhashed_ips(g, hm), base, "ip")
-    return extracts.read_extract(spark, p, "unhash_ip_addr")
+    with Scope(spark) as scope:
+        gold_rows = scope.persist(spark.table(publish_gold(spark, t)).select("file_name", "uhid", "nu_uhid", "hash_ip_addr"))
+        hm = extracts.upkeep_hash_map(spark, _segment_ips(t), f"{scope.folder}/hash-map", IP_SALT)
+        path = extracts.publish_extracts(gold_rows, hm, base)
+    return extracts.read_extract(spark, path, "value").select(F.col("file_name").alias("extract"), "value")

@@ -12,7 +12,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours wants, whatever the cluster size.
 BASE_CONF = {
@@ -95,3 +96,44 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared folder (never reused)."""
     return f"{shared_dir(spark)}/kestrel/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of ours through Spark's file system, whichever that is; nothing if it is not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scope:
+    """PRT-05: frames kept for a while, and given back together.
+
+        with Scope(spark) as scope:
+            rows = scope.persist(frame)        # kept by the executors, recomputed if one is lost
+            cut = scope.written(other)         # written below ``scope.folder`` in the shared folder, lineage cut
+            ...
+
+    On leaving, also by an error, every frame is unpersisted and the folder
+    removed with all that lies in it. Results must be written elsewhere before.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.frames = spark, []
+        self.folder = scratch_path(spark, "scope")
+
+    def persist(self, df: DataFrame) -> DataFrame:
+        self.frames.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self.frames[-1]
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.frames)}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scope:
+        return self
+
+    def __exit__(self, *_error) -> None:
+        for df in self.frames:
+            df.unpersist()
+        self.frames.clear()
+        remove_folder(self.spark, self.folder)
