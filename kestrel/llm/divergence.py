@@ -18,8 +18,8 @@ language not higher, earlier in UTF-8) cannot be among the k. Each task keeps
 the k-skyband of the terms it reads for each group, those fewer than k others
 dominate; a second round merges the bands of a group into one, which is exact
 since a dropped term stays dominated; only what is left is valued and ranked.
-Terms with p <= q are dropped at the end: whatever dominates a term with p > q has
-p > q itself, so they push nothing else out.
+Terms with p <= q are left out before: whatever dominates a term with p > q has
+p > q itself, so they would push nothing else out.
 
 All arithmetic is on whole numbers. Defined cases: null text, lang or source is
 ''; every row is a document, repeated rows and ids too; a group without terms
@@ -44,7 +44,7 @@ MIN_DOCS, TOP = 10, 10
 #: (term, source) cells that one matrix is aimed at.
 CELLS = 1 << 17
 #: Rows that a counting task holds before it adds equal ones up and sends what is left, and those of a skyband task.
-HELD, BAND_ROWS = 1 << 19, 1 << 18
+HELD, BAND_ROWS = 1 << 18, 1 << 17
 SCALE = 1_000_000_000
 
 #: Terms are runs of a-z and of everything beyond ASCII (for lower-cased texts).
@@ -188,7 +188,7 @@ def pair_part(kept: DataFrame, groups: DataFrame, cells: int = CELLS) -> DataFra
 
 # ---------------------------------------------------------------- terms
 
-def skyband(n: np.ndarray, lang_n: np.ndarray, rank: np.ndarray, k: int, block: int = 512) -> np.ndarray:
+def skyband(n: np.ndarray, lang_n: np.ndarray, rank: np.ndarray, k: int, block: int = 128) -> np.ndarray:
     """Places of the entries that fewer than k others dominate: n not lower, lang_n not higher, rank lower.
 
     Entries are looked at with n falling, so whatever dominates one comes before
@@ -203,11 +203,14 @@ def skyband(n: np.ndarray, lang_n: np.ndarray, rank: np.ndarray, k: int, block:
         a, b = low[i: i + block], at[i: i + block]
         above = ((m_low[None, :] <= a[:, None]) & (m_at[None, :] < b[:, None])).sum(axis=1)
         left = np.flatnonzero(above < k)
+        a, b, above = a[left], b[left], above[left]
+        over = np.ascontiguousarray(((a[None, :] <= a[:, None]) & (b[None, :] < b[:, None])).T)  # row j: whom j dominates, if it comes before
         new: list[int] = []
-        for j in left.tolist():
-            if above[j] + int(((a[new] <= a[j]) & (b[new] < b[j])).sum()) < k:
+        for j in range(len(left)):
+            if above[j] < k:
                 new.append(j)
-        members += [i + j for j in new]
+                above[j + 1:] += over[j, j + 1:]
+        members += (i + left[new]).tolist()
         m_low, m_at = np.r_[m_low, a[new]], np.r_[m_at, b[new]]
     return order[members]
 
@@ -219,11 +222,8 @@ def _bands(k: int, rows_held: int = BAND_ROWS):
         rows = rows.combine_chunks()
         rank = np.empty(len(rows), np.int64)
         rank[pc.sort_indices(rows.column("term").cast(pa.binary()), sort_keys=[("", "ascending")]).to_numpy()] = np.arange(len(rows))
-        group = rows.group_by(["lang", "source"], use_threads=False).aggregate([([], "count_all")]).drop_columns("count_all")
-        group = group.append_column("_g", pa.array(range(len(group)), pa.int64()))
-        numbered = rows.append_column("_i", pa.array(range(len(rows)), pa.int64())).join(group, ["lang", "source"], use_threads=False)
-        g = np.empty(len(rows), np.int64)
-        g[numbered.column("_i").to_numpy()] = numbered.column("_g").to_numpy()
+        lang, source = (rows.column(c).combine_chunks().dictionary_encode() for c in ("lang", "source"))
+        g = lang.indices.to_numpy().astype(np.int64) * max(1, len(source.dictionary)) + source.indices.to_numpy()
         n, lang_n = rows.column("n").to_numpy(), rows.column("lang_n").to_numpy()
         order = np.argsort(g, kind="stable")
         edge = np.r_[0, np.flatnonzero(np.diff(g[order])) + 1, len(order)]
@@ -245,20 +245,20 @@ def _bands(k: int, rows_held: int = BAND_ROWS):
 
 
 def term_part(kept: DataFrame, groups: DataFrame, k: int = TOP) -> DataFrame:
-    schema = "lang string, source string, term string, n long, lang_n long"
-    rows = kept.where("term != '' and n > 0").select("lang", "source", "term", "n", "lang_n")
-    bands = rows.mapInArrow(_bands(k), schema)
-    # the bands of a group meet in one task, which holds no more than it keeps
-    bands = bands.repartition("lang", "source").mapInArrow(_bands(k), schema)
-
     def p(n, total):
         part = F.expr(f"(cast({n} + 2 as decimal(20,0)) * cast({SCALE} as decimal(10,0))) div cast({total} + 2 * terms as decimal(20,0))")
         return part + 1
 
-    valued = bands.join(groups.select("lang", "source", "total", "lang_total", "terms"), ["lang", "source"])
-    valued = valued.withColumn("p", p("n", "total")).withColumn("q", p("lang_n", "lang_total")).where("p > q")
+    sizes = groups.select("lang", "source", "total", "lang_total", "terms")
+    rows = kept.where("term != '' and n > 0").join(sizes, ["lang", "source"]).withColumn("p", p("n", "total")).withColumn("q", p("lang_n", "lang_total"))
+    # whatever dominates a term with p > q has p > q itself, so the others count for nothing
+    rows = rows.where("p > q").select("lang", "source", "term", "n", "lang_n", "p", "q")
+    schema = "lang string, source string, term string, n long, lang_n long, p long, q long"
+    bands = rows.mapInArrow(_bands(k), schema)
+    # the bands of a group meet in one task, which holds no more than it keeps
+    bands = bands.repartition("lang", "source").mapInArrow(_bands(k), schema)
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "term"))
-    valued = valued.withColumn("value", F.expr("((p - q) * (p - q)) div (p + q)")).withColumn("rank", rank).where(F.col("rank") <= k)
+    valued = bands.withColumn("value", F.expr("((p - q) * (p - q)) div (p + q)")).withColumn("rank", rank).where(F.col("rank") <= k)
     return valued.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
 
 
