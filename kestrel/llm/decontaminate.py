@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import (ALNUM_WORDS, BLOCK_BYTES, LOWER, U64, Words, blocks, bucket_of, cuts, grams, member, ranges, slices,
-                                sliding_min, text_bytes)
+from kestrel.llm.common import (ALNUM_WORDS, BLOCK_BYTES, LOWER, U64, Words, blocks, bucket_of, cuts, free_name, grams, member, ranges, slices,
+                                sliding_min, text_bytes, work_path)
 
 WINDOW = 10
 GRAM = 5
@@ -184,13 +184,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, without a hit word.
 
-    Beyond ``index_bytes`` the hit documents are taken out by doc_id, so rows
-    that share the id of a hit row go with it and rows without an id stay.
+    Beyond ``index_bytes`` the rows are numbered, written to the shared folder
+    and taken out by their number: ids, null or repeated, decide nothing.
     """
     known = _broadcast(benchmark, window, gram, index_bytes)
     if known is None:
-        hit = find_contamination(docs, benchmark, window, gram, index_bytes).where("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct()
-        return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
+        spark, row, path = docs.sparkSession, free_name(docs, "_row"), work_path(docs.sparkSession, "numbered")
+        docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
+        held = spark.read.parquet(path)
+        texts = held.select(F.col(row).alias("doc_id"), F.col("text").cast("string").alias("text"))
+        hit = _by_join(texts, _items(benchmark), window, gram).where("n_hit > 0").select(F.col("doc_id").alias("_hit"))
+        return held.join(hit, held[row] == hit["_hit"], "left_anti").select(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

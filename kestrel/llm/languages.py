@@ -157,13 +157,15 @@ def fit(docs: DataFrame, label: str = "lang", clusters: int = CLUSTERS, sample:
     rows = rows.where("lang is not null and text is not null and doc_id is not null").where(F.col("text").rlike(r"\p{L}") & (F.octet_length("text") > 1))
     # the least hashes of a frequent language are looked for below four times the hash that ``sample`` rows should reach
     ids = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("hash"))
-    often = ids.groupBy("lang").agg((F.lit(4.0 * sample * (1 << 40)) / F.count("*")).alias("below"))
-    low = ids.join(F.broadcast(often), "lang").where(F.col("hash") <= F.col("below"))  # one row for each language
+    # ids are counted and not rows: one id may have very many
+    often = ids.groupBy("lang").agg((F.lit(4.0 * sample * (1 << 40)) / F.approx_count_distinct("doc_id")).alias("below"))
+    low = ids.join(F.broadcast(often), "lang").where(F.col("hash") <= F.col("below")).distinct()  # one row for each language
     order = Window.partitionBy("lang").orderBy("hash", "doc_id")
     chosen = low.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
     # ``sample`` ids for each language at most
     chosen = chosen.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")).distinct()
     picked = rows.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of"))).select("lang", "doc_id", "text")
+    picked = picked.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))  # one text for each id
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

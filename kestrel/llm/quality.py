@@ -192,9 +192,10 @@ def train(x: np.ndarray, y: np.ndarray, bins: int = 32, coarse_bins: int = 8, ro
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Gam:
     """Learn from the texts of the documents that ``labels`` (doc_id, label) names."""
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y is not null")
-    chosen = known.orderBy(F.xxhash64("id"), "id", "y").limit(sample)  # at most ``sample`` rows of 12 bytes
+    chosen = known.distinct().orderBy(F.xxhash64("id"), "id", "y").limit(sample)  # at most ``sample`` rows of 12 bytes
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "y", "text")
+    rows = rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # one text for each label, however many rows an id has
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
