@@ -30,7 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = lines.dedup_lines(docs, counts=(free_name(docs, "_n_lines"), free_name(docs, "_n_dropped")))
+    out = lines.dedup_lines(docs, whole_docs=lines.WHOLE_DOCS, counts=(free_name(docs, "_n_lines"), free_name(docs, "_n_dropped")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
