@@ -6,7 +6,7 @@ codegen; none of them calls Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Money is summed exactly: doubles become decimal(18,2) before any sum, the
@@ -133,7 +133,23 @@ LOG_PATTERN = (
 )
 
 
-def parse_log_line(c) -> list[Column]:
-    """STR-09: the nine fields of a combined-format log line, as columns."""
-    col = F.col(c) if isinstance(c, str) else c
-    return [F.regexp_extract(col, LOG_PATTERN, i + 1).alias(n) for i, n in enumerate(LOG_FIELDS)]
+# Stands between the fields that one replacement writes; a control character that logs do not hold.
+_MARK = "\x01"
+
+
+def parse_log_line(df: DataFrame, line: str) -> DataFrame:
+    """STR-09: ``df`` with the nine fields of a combined-format log line, and
+    ``matched``, false where the line has another form (its fields are then '').
+
+    The pattern runs once a line: one replacement writes all fields with a mark
+    between them, and a split takes them apart. A line that holds the mark itself
+    is read field by field instead.
+    """
+    whole = rf"\A(?s:.*?){LOG_PATTERN}(?s:.*)\z"
+    once = F.split(F.regexp_replace(F.col(line), whole, "".join(f"{_MARK}${i + 1}" for i in range(len(LOG_FIELDS)))), _MARK)
+    slow = F.array(F.when(F.col(line).rlike(LOG_PATTERN), F.lit("")).otherwise(F.lit(None)), *[F.regexp_extract(line, LOG_PATTERN, i + 1) for i in range(len(LOG_FIELDS))])
+    out = df.withColumn("_parsed", F.when(F.col(line).contains(_MARK), slow).otherwise(once))
+    ok = F.coalesce((F.size("_parsed") == len(LOG_FIELDS) + 1) & F.col("_parsed")[0].isNotNull(), F.lit(False))
+    out = out.withColumn("matched", ok)
+    fields = [F.when(F.col("matched"), F.get("_parsed", F.lit(i + 1))).when(F.col(line).isNotNull(), F.lit("")).alias(n) for i, n in enumerate(LOG_FIELDS)]
+    return out.select(*df.columns, *fields, "matched")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from kestrel.operators.windows import latest_per_key
+from kestrel.operators.windows import join_back, latest_per_key
 from kestrel.session import shared_dir
 from kestrel.sources.readers import read_if_there
 
@@ -184,6 +184,26 @@ def standardize_lookup(df: DataFrame, store: str, standardizer: Callable[[pd.Dat
     return df.join(lookup, cond, "left").drop(*[f"_k_{c}" for c in INPUT_FIELDS])
 
 
+#: The columns that an address file fills and an id file leaves empty (PIP-09).
+LAYOUT_COLUMNS = ("city", "state", "zip")
+
+
+def by_layout(df: DataFrame, file: str = "file_name", columns: Sequence[str] = LAYOUT_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """PIP-09: (rows of address files, rows of id files), told by the columns that a
+    file fills: all of ``columns``, or none, when ``address`` holds an id. A file with
+    some of them filled stops the job, and its name is in the error.
+
+    One small table, a row for each file, decides; rows meet it by an equi join.
+    """
+    filled = sum(F.max((F.length(F.trim(F.coalesce(F.col(c), F.lit("")))) > 0).cast("int")) for c in columns)
+    layout = df.groupBy(file).agg(filled.alias("_filled"))
+    odd = layout.where(~F.col("_filled").isin(0, len(columns))).orderBy(file).limit(10).collect()
+    if odd:
+        raise ValueError(f"invalid number of fields in {[r[file] for r in odd]}")
+    rows = join_back(df, layout, [file])
+    return rows.where(F.col("_filled") > 0).drop("_filled"), rows.where(F.col("_filled") == 0).drop("_filled")
+
+
 def route_rejects(std: DataFrame) -> DataFrame:
     """PIP-08 (+Q14, Q30): one pass that gives every standardised row a
     reason or none. All four key standard fields present -> valid (null

@@ -309,21 +309,47 @@ def match_identity(spark, sf):
     return identity(Tables(spark, sf))
 
 
-@query("match_identity_ids_only", "WITH " + FIXTURE_SQL + """,
+ID_FILES_SQL = """
 idin AS (SELECT DISTINCT 'idlist' AS segment_name, lower(o_orderstatus) AS advertiser_name,
                 'idlist_' || lower(o_orderstatus) || '_20240101.csv' AS file_name,
                 lower(trim(' U' || CAST(o_custkey AS VARCHAR) || ' ')) AS uhid FROM orders),
-""" + chain_sql("idin") + "SELECT * FROM ident")
+"""
+
+
+def id_files(t: Tables) -> DataFrame:
+    """Incoming rows of files that hold ids only, in the layout of all incoming rows."""
+    o = t.orders
+    none = F.lit("")
+    return o.select(F.lit("idlist").alias("segment_name"), F.lower("o_orderstatus").alias("advertiser_name"),
+                    F.concat(F.lit("idlist_"), F.lower("o_orderstatus"), F.lit("_20240101.csv")).alias("file_name"),
+                    F.concat(F.lit(" U"), _s("o_custkey"), F.lit(" ")).alias("address"), none.alias("city"), none.alias("state"), none.alias("zip"))
+
+
+def identity_of(t: Tables, incoming: DataFrame) -> DataFrame:
+    """PIP-09: files of either layout through one chain; any other layout is an error."""
+    addresses, only_ids = matching.by_layout(incoming)
+    std = matching.standardize_columns(matching.prepare_input(addresses, "address", "city", "state", "zip"))
+    found = _ctx(matched(t, matching.route_rejects(std))).filter(F.col("uhid") != "-1")
+    given = _ctx(only_ids.withColumn("uhid", F.lower(F.trim("address"))))
+    return chain(t, found.unionByName(given).distinct()).select("segment_name", "advertiser_name", "file_name", "uhid", "nu_uhid", "cuhid", "ip_addr")
+
+
+@query("match_identity_ids_only", "WITH " + FIXTURE_SQL + "," + ID_FILES_SQL + chain_sql("idin") + "SELECT * FROM ident")
 def match_identity_ids_only(spark, sf):
-    """PIP-09: an input with only an id column skips standardisation:
+    """PIP-09: files with only an id column skip standardisation:
     ``lower(trim(id))``, distinct, then the same chain."""
     t = Tables(spark, sf)
-    o = t.orders
-    ids_in = o.select(F.lit("idlist").alias("segment_name"), F.lower("o_orderstatus").alias("advertiser_name"),
-                      F.concat(F.lit("idlist_"), F.lower("o_orderstatus"), F.lit("_20240101.csv")).alias("file_name"),
-                      F.lower(F.trim(F.concat(F.lit(" U"), _s("o_custkey"), F.lit(" ")))).alias("uhid")).distinct()
-    return chain(t, ids_in).select("segment_name", "advertiser_name", "file_name", "uhid", "nu_uhid", "cuhid",
-                                   "ip_addr")
+    return identity_of(t, id_files(t))
+
+
+@query("match_identity_mixed", "WITH " + FIXTURE_SQL + "," + ID_FILES_SQL + """ids AS (
+SELECT DISTINCT segment_name, advertiser_name, file_name, uhid FROM matched WHERE uhid <> '-1' UNION SELECT * FROM idin),
+""" + chain_sql("ids") + "SELECT * FROM ident")
+def match_identity_mixed(spark, sf):
+    """PIP-09 / PIP-07: address files and id files arrive together and take
+    their own ways into the chain."""
+    t = Tables(spark, sf)
+    return identity_of(t, onboarding(t).unionByName(id_files(t)))
 
 
 @query("dq_reject_routing", "WITH " + FIXTURE_SQL + f"""

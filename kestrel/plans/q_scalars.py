@@ -93,13 +93,13 @@ SELECT event_id,
        'GET /' || event_type || ' HTTP/1.1' AS request,
        CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS status,
        CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS bytes,
-       '-' AS referer, 'agent/' || CAST(user_id AS VARCHAR) AS agent
+       '-' AS referer, 'agent/' || CAST(user_id AS VARCHAR) AS agent, true AS matched
 FROM events
 """)
 def log_parse_fields(spark, sf):
     """STR-09: parse the nine fields back out of each line with one pattern."""
     lines = _log_lines(Tables(spark, sf))
-    return lines.select("event_id", *S.parse_log_line("line"))
+    return S.parse_log_line(lines.select("event_id", "line"), "line").drop("line")
 
 
 @query("date_from_epoch_ms", """

@@ -26,11 +26,10 @@ def _name(prefix: str) -> str:
 
 @query("sink_config_write", "SELECT * FROM orders")
 def sink_config_write(spark, sf):
-    """SNK-01 (+Q2): CSV with header, two partition columns, 4 write tasks
-    hashed on the partition columns; read back by schema."""
+    """SNK-01 (+Q2): CSV with header, two partition columns, as many write tasks
+    as the rows need; read back by schema."""
     path = scratch_path(spark, "orders-cfg")
-    conf = SinkConfig(path, "csv", "overwrite", ["o_orderstatus", "o_orderpriority"], 4, True,
-                      {"timestampNTZFormat": TS_TEXT})
+    conf = SinkConfig(path, "csv", "overwrite", ["o_orderstatus", "o_orderpriority"], options={"timestampNTZFormat": TS_TEXT})
     writers.write(Tables(spark, sf).orders, conf)
     return readers.csv_with_header(spark, path, ORDERS_SCHEMA, options={"timestampNTZFormat": TS_TEXT})
 
@@ -142,15 +141,36 @@ def sink_text_lines(spark, sf):
     return spark.read.text(path)
 
 
+@query("sink_single_file", "SELECT n_nationkey, n_name FROM nation")
+def sink_single_file(spark, sf):
+    """PRT-02 / SNK-09: a small extract as one headerless gzip file."""
+    n = Tables(spark, sf).nation.select("n_nationkey", "n_name")
+    path = writers.extract_csv(n, scratch_path(spark, "extract"), "nations", files=1)
+    return readers.delimited_text(spark, path, n.schema, ",")
+
+
+@query("sink_path_overwrite", """
+SELECT o_orderkey, o_totalprice * CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS o_totalprice, o_orderstatus FROM orders""")
+def sink_path_overwrite(spark, sf):
+    """SNK-02: files by status; the F partition alone is delivered again."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    path = scratch_path(spark, "orders-by-status")
+    writers.dynamic_partition_overwrite(o, path, ["o_orderstatus"])
+    again = o.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    writers.dynamic_partition_overwrite(again, path, ["o_orderstatus"])
+    return spark.read.schema(o.schema).parquet(path)
+
+
 @query("tbl_partition_ddl", """
 SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS partition FROM orders WHERE o_orderstatus <> 'P'
 UNION ALL SELECT 'o_orderstatus=X'""")
 def tbl_partition_ddl(spark, sf):
-    """TBL-03 / TBL-04: create a partitioned table, load it, add an empty
-    partition, drop one, list the partitions (a catalog command)."""
+    """TBL-03 / TBL-04 / TBL-05: drop and create a partitioned table, load it, add an
+    empty partition, drop one, list the partitions (a catalog command)."""
     o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus")
     table = _name("orders_parts")
     path = scratch_path(spark, "orders-parts")
+    writers.drop_table(spark, table)
     writers.create_partitioned_table(spark, table, "o_orderkey bigint, o_orderstatus string", ["o_orderstatus"], path)
     writers.insert_overwrite(o, table)
     spark.sql(f"ALTER TABLE {table} ADD PARTITION (o_orderstatus = 'X')")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import epoch_seconds
 from kestrel.operators import ledger, windows
-from kestrel.operators.retail import join_left_default
 from kestrel.plans.registry import query
 from kestrel.sources.tables import Tables
 
@@ -79,14 +78,13 @@ FROM customer c LEFT JOIN (
   WHERE rn = 1) x ON c.c_custkey = x.o_custkey
 """)
 def join_latest_per_key(spark, sf):
-    """JON-09: left join to the latest row per key (WIN-06 as max_by)."""
+    """JON-09: left join to the latest row per key (WIN-06 as max_by), which is
+    worked out and joined once."""
     t = Tables(spark, sf)
     latest = windows.latest_per_key(t.orders, "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderkey", "o_orderdate"])
     c = t.customer.select("c_custkey", "c_mktsegment")
-    j = join_left_default(c, latest.select("o_custkey", "o_orderkey"), "c_custkey", "o_custkey",
-                          "o_orderkey", 0, "latest_orderkey")
-    d = latest.select(F.col("o_custkey").alias("_k"), F.col("o_orderdate").alias("latest_orderdate"))
-    return j.join(d, j.c_custkey == d._k, "left").drop("_k")
+    j = c.join(latest, c["c_custkey"] == latest["o_custkey"], "left")
+    return j.select("c_custkey", "c_mktsegment", F.coalesce("o_orderkey", F.lit(0)).alias("latest_orderkey"), F.col("o_orderdate").alias("latest_orderdate"))
 
 
 _LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity"

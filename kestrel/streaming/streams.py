@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from kestrel.session import Scope
 from kestrel.sources.readers import read_if_there
 
 # A batch interval of one second, as the reference's jobs use (STM-01).
@@ -127,10 +128,10 @@ def upsert_latest(state_path: str, key: str, order_cols: list[str], buckets: int
     """STM-08: ``foreachBatch`` upsert of "latest row and running count per
     key" into a Parquet state table partitioned by key bucket.
 
-    Only the buckets a batch touches are read, merged and rewritten
-    (dynamic partition overwrite). The merged rows are checkpointed to the
-    shared folder first, because Spark cannot overwrite files it is still
-    reading. Each bucket holds the batch id and the ``run_id`` (one per stream
+    Only the buckets a batch touches are read (the others are pruned), merged
+    and rewritten (dynamic partition overwrite). The merged rows are written to
+    the shared folder first, because Spark cannot overwrite files it is still
+    reading, and that folder is removed when the batch is in. Each bucket holds the batch id and the ``run_id`` (one per stream
     checkpoint) that wrote it last: a replayed batch skips the buckets that
     have it and writes those that a crash left out; another run starts its
     batch ids anew. Null keys are a key like any other.
@@ -139,19 +140,21 @@ def upsert_latest(state_path: str, key: str, order_cols: list[str], buckets: int
         spark = batch.sparkSession
         rows = (batch.withColumn("_bucket", F.pmod(F.hash(F.col(key)), F.lit(buckets)))
                 .withColumn("n_events", F.lit(1).cast("bigint")))
-        old = read_if_there(spark, state_path)
-        if old is not None:
-            # one row for each bucket
-            done = old.where((F.col("_run") == run_id) & (F.col("_batch") >= batch_id)).select("_bucket").distinct()
-            rows = rows.join(done, "_bucket", "left_anti")
-            touched = rows.select("_bucket").distinct()
-            old = old.join(touched, "_bucket", "left_semi").drop("_batch", "_run")
-            rows = old.unionByName(rows.select(*old.columns))
-        cols = [c for c in rows.columns if c not in (key, "n_events")]
-        best = F.max_by(F.struct(*cols), F.struct(*[F.col(c) for c in order_cols]))
-        merged = rows.groupBy(key).agg(best.alias("_r"), F.sum("n_events").alias("n_events"))
-        merged = merged.select(key, *[F.col("_r")[c].alias(c) for c in cols], "n_events", F.lit(batch_id).alias("_batch"), F.lit(run_id).alias("_run"))
-        merged = merged.checkpoint(eager=True)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_bucket").parquet(state_path))
+        with Scope(spark) as scope:
+            rows = scope.persist(rows)
+            # one number for each bucket: those of other keys are not read
+            touched = [r["_bucket"] for r in rows.select("_bucket").distinct().collect()]
+            old = read_if_there(spark, state_path)
+            if old is not None:
+                old = old.where(F.col("_bucket").isin(touched))
+                done = [r["_bucket"] for r in old.where((F.col("_run") == run_id) & (F.col("_batch") >= batch_id)).select("_bucket").distinct().collect()]
+                fresh = F.lit(True) if not done else ~F.col("_bucket").isin(done)
+                old = old.where(fresh).drop("_batch", "_run")
+                rows = old.unionByName(rows.where(fresh).select(*old.columns))
+            cols = [c for c in rows.columns if c not in (key, "n_events")]
+            best = F.max_by(F.struct(*cols), F.struct(*[F.col(c) for c in order_cols]))
+            merged = rows.groupBy(key).agg(best.alias("_r"), F.sum("n_events").alias("n_events"))
+            merged = merged.select(key, *[F.col("_r")[c].alias(c) for c in cols], "n_events", F.lit(batch_id).alias("_batch"), F.lit(run_id).alias("_run"))
+            (scope.written(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_bucket").parquet(state_path))
     return run
