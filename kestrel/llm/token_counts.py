@@ -48,7 +48,7 @@ from kestrel.llm.common import LOWER, U64, slices, text_bytes
 #: Frequent pre-tokens kept in the broadcast table, and its slots.
 TABLE, SLOTS_LOG2 = 1 << 16, 17
 #: Rows looked at for the table, and the most pre-tokens that one task sends.
-SAMPLE_ROWS, SENT = 8192, 16384
+SAMPLE_ROWS, SENT = 8192, 4096
 #: Entries of one generation of a worker's memory (of up to LONG bytes; longer pieces are not remembered).
 CACHE, LONG = 400_000, 64
 
@@ -223,15 +223,15 @@ def count_batch(column, counts: Counts, table: LengthTable | None) -> tuple[np.n
     return size, n
 
 
-def frequent(docs: DataFrame, tokenizer_path: str, text_col: str = "text", rows: int = SAMPLE_ROWS, keep: int = TABLE) -> dict[bytes, int]:
-    """Token counts of the most frequent pre-tokens of a sample of about ``rows`` rows from all over the table."""
+def sample_pieces(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS, keep: int = TABLE, kind: type = Pieces) -> list[bytes]:
+    """The most frequent pieces (of up to 16 bytes) of a sample of about ``rows`` rows from all over the table."""
     n = docs.count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for piece in slices(batch, "text"):
-                p = Pieces(*text_bytes(piece.column("text")))
+                p = kind(*text_bytes(piece.column("text")))
                 seen.update(p.bytes_of(np.flatnonzero(p.keys()[2])))
                 if len(seen) > 4 * SENT:
                     seen = Counter(dict(seen.most_common(2 * SENT)))
@@ -243,9 +243,16 @@ def frequent(docs: DataFrame, tokenizer_path: str, text_col: str = "text", rows:
     total: Counter = Counter()
     for r in picked.mapInArrow(run, "piece binary, n long").collect():
         total[bytes(r["piece"])] += r["n"]
-    best = [p for p, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:keep]]
+    return [p for p, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:keep]]
+
+
+def frequent(docs: DataFrame, tokenizer_path: str, text_col: str = "text", rows: int = SAMPLE_ROWS, keep: int = TABLE) -> dict[bytes, int]:
+    """Token counts of the most frequent pre-tokens of the sample."""
     counts = Counts(tokenizer_path)
-    return {p: k for p, k in zip(best, counts.of(best).tolist(), strict=True) if 0 < k < 256} if counts.cuts else {}
+    if not counts.cuts:
+        return {}
+    best = sample_pieces(docs, text_col, rows, keep)
+    return {p: k for p, k in zip(best, counts.of(best).tolist(), strict=True) if 0 < k < 256}
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text", lengths: dict[bytes, int] | None = None) -> DataFrame:

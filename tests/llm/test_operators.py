@@ -491,16 +491,19 @@ def test_encoder_equals_the_library():
     from kestrel.llm.tokens import Encoder
 
     rng = random.Random(1)
-    parts = [" ", "  ", "\n", "\t", "a", "the", "é", "1", "'s", "'ll", ".", "!!", " ", "\u2003", "\x1c", "中", "😀", "<|endoftext|>", "\r\n", "\x85", "́"]
-    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
-    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
-        e = Encoder(public_tokenizers.path(name))
-        e.KEEP = 500
-        for some in (texts[:1000], texts[1000:]):
-            ids, n = e.encode(some)
+    parts = [" ", "  ", "\n", "\t", "a", "the", "é", "1", "'s", "'ll", "'", "_", "A2", ".", "!!", "\u00a0", "\u2003", "\x1c", "\x00", "中", "\u3000", "\ufeff", "😀", "<|endoftext|>", "\r\n", "\x85", "́", "²"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(9000)] + ["", None, " ", "x" * 5000]
+    known = [b" the", b"a", b" a", b"'s", b" ", b"!!", b"abcdefghijklmnop", b"\n"]
+    for name, frequent in (("byte_bpe_50k.json", ()), ("byte_bpe_50k.json", known), ("word_bpe_49k.json", known)):
+        e = Encoder(public_tokenizers.path(name), frequent)
+        e.KEEP = 300
+        for i in range(0, len(texts), 600):
+            some = texts[i: i + 600]
+            ids, n = e.encode(pa.array(some, pa.string()))
             ends = np.cumsum(n)
             for t, a, b in zip(some, ends - n, ends, strict=True):
-                assert ids[a:b].tolist() == [*e.tokenizer.encode(t, add_special_tokens=False).ids, 0]
+                assert ids[a:b].tolist() == [*e.tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
+        assert all(len(p) <= e.LONG for p in e.young) and len(e.size) < 20 * e.KEEP
 
 
 def test_tokens(spark, odd, none, tmp_path):
@@ -548,7 +551,7 @@ def test_pipeline(spark, odd, none, tmp_path):
         if k < 4:
             assert out.columns == docs.columns
         if name == "line_dedup":
-            want = {i: t for i, _, _, t in line_dedup([(r["doc_id"], r["text"]) for r in before.values()])}
+            want = {i: t for i, _, t in whole_line_dedup([(r["doc_id"], r["text"]) for r in before.values()], 2)}
             assert {r["doc_id"]: r["text"] for r in after} == want and all(r["n_chars"] == len(r["text"]) for r in after)
         if name == "simhash_near_dedup":
             rows = [(i, r["text"]) for i, r in before.items()]
@@ -562,6 +565,61 @@ def test_pipeline(spark, odd, none, tmp_path):
         stage(spark, odd, SMALL).count()
 
 
+def test_pipeline_drops_short_lines_and_lines_of_two_documents(spark):
+    import corpus_pipeline as cp
+
+    docs = spark.createDataFrame([(i, f"own words {chr(97 + i)} here\nAll rights reserved.\nbye {chr(97 + i // 2)}", "en", "s", 0) for i in range(10)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"].split("\n") for r in cp.line_dedup(spark, docs, SMALL).collect()}
+    for i in range(10):
+        assert got[i] == [f"own words {chr(97 + i)} here", *["All rights reserved."] * (i == 0), *[f"bye {chr(97 + i // 2)}"] * (i % 2 == 0)]
+
+
+def test_contamination_goes_alike_by_either_way(spark):
+    """Null and repeated ids, and texts without one: broadcast and join drop the same rows."""
+    from kestrel.llm.decontaminate import drop_contaminated
+
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(None, item, "a"), (None, "clean and without an id", "b"), (1, item + " more", "c"), (1, "clean under the same id", "d"), (2, None, "e"), (3, "", "f"), (1, item + " more", "g"), (4, "clean", "h")]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, tag string, _row int")
+    bench = spark.createDataFrame([("i1", item), ("i2", "only here")], "item_id string, text string")
+    got = [drop_contaminated(docs, bench, index_bytes=size) for size in (1 << 25, 0)]
+    assert all(g.columns == docs.columns for g in got)
+    assert [sorted(r["tag"] for r in g.collect()) for g in got] == [["b", "d", "e", "f", "h"]] * 2
+
+
+def test_samples_are_of_ids_and_bounded(spark):
+    """One id with very many rows neither pushes a language out of the sample nor fills it."""
+    from kestrel.llm import languages, quality
+
+    en = [(1, "the house and the garden of the town", "en")] * 3000 + [(2, "all of the words are here", "en")]
+    de = [(10 + i, f"der hund und die katze {i}", "de") for i in range(300)]
+    model = languages.fit(spark.createDataFrame(en + de, "doc_id long, text string, lang string"))
+    assert set(model.languages) == {"en", "de"}
+    docs = spark.createDataFrame([(1, "same id " * 5)] * 2000 + [(i, f"text {i}") for i in range(2, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)] * 3, "doc_id long, quality int")
+    seen = []
+    train = quality.train
+    quality.train = lambda x, y, *a, **k: seen.append(len(x)) or train(x, y, *a, **k)
+    try:
+        quality.fit(docs, labels, sample=30)
+    finally:
+        quality.train = train
+    assert seen == [30]
+
+
+def test_quality_query_on_held_out_documents(spark):
+    from kestrel.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    rows = QUERIES["op8_quality_classifier"](spark, sf).collect()
+    docs = {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
+    label = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality is not null").collect()}
+    assert len(rows) == len(docs) and {r["doc_id"] for r in rows} == docs
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    held = [(r["predicted"], label[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in label]
+    assert len(held) > 20 and sum(p == y for p, y in held) >= 0.9 * len(held)
+
+
 def test_pipeline_carries_columns_named_like_helpers(spark, odd, none):
     import corpus_pipeline as cp
 
