@@ -122,7 +122,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
     last = F.when(F.col("words") % capacity == 0, F.expr(f"words div {capacity}") - 1).otherwise(F.expr(f"words div {capacity}"))
     pieces = rows.where("words > 0").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     pieces = pieces.withColumn("n_words", F.least(F.lit(capacity), F.col("words") - F.col("piece") * capacity).cast("int"))
-    shards = max(1, -(-docs.count() // shard_rows))
+    # pieces are counted and not documents: long texts have very many
+    n_pieces = rows.agg(F.sum(F.ceil(F.col("words") / capacity))).first()[0] or 0
+    shards = max(1, -(-int(n_pieces) // shard_rows))
     # rows without an id are spread by their text
     shard = F.pmod(F.xxhash64(F.coalesce("doc_id", "copy"), "piece"), F.lit(shards)).cast("int")
     dealt = pieces.select("doc_id", F.col("piece").cast("int").alias("piece"), "n_words", "source", "cluster", shard.alias("shard"))
