@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.scalars import decrypt_id, encrypt_id, hash_ip
 from kestrel.operators import extracts, matching
 from kestrel.plans.registry import query
-from kestrel.session import Scope, scratch_path, shared_dir
+from kestrel.session import Scope, scratch_path
 from kestrel.sinks import writers
 from kestrel.sources.tables import Tables
 
@@ -121,14 +121,13 @@ def identity(t: Tables) -> DataFrame:
     return chain(t, uh).select("segment_name", "advertiser_name", "file_name", "uhid", "nu_uhid", "cuhid", "ip_addr")
 
 
-def gold(t: Tables, known: DataFrame | None = None) -> DataFrame:
+def gold(t: Tables, scope: Scope, known: DataFrame | None = None) -> DataFrame:
     """The gold table rows, by name (Q31): segment id, ids, hashed ip, load
     time. Pairs of ``known`` (segment_name, advertiser_name, segment_id) keep
-    their id. The identity chain runs once: keys and rows both read its
-    checkpoint in the shared folder."""
+    their id. The identity chain runs once: keys and rows both read what it has
+    written into the scope's folder."""
     spark = t.spark
-    shared_dir(spark)
-    ident = identity(t).checkpoint()
+    ident = scope.written(identity(t))
     if known is None:
         known = spark.createDataFrame([], "segment_name string, advertiser_name string, segment_id bigint")
     keys = matching.assign_surrogate_keys(ident, known, ["segment_name", "advertiser_name"])
@@ -149,14 +148,15 @@ def publish_gold(spark, t: Tables, table: str | None = None) -> str:
     keep their segment id; without ``table`` a new one is made. Returns its
     name."""
     known = None
-    if table is None:
-        table = f"gold_{uuid.uuid4().hex[:10]}"
-        writers.create_partitioned_table(spark, table, GOLD_DDL, ["segment_name", "advertiser_name"],
-                                         scratch_path(spark, "gold"))
-    else:
-        shared_dir(spark)  # the ids are read before their partitions are replaced
-        known = spark.table(table).select("segment_name", "advertiser_name", "segment_id").distinct().checkpoint()
-    writers.insert_overwrite(gold(t, known), table)
+    with Scope(spark) as scope:
+        if table is None:
+            table = f"gold_{uuid.uuid4().hex[:10]}"
+            writers.create_partitioned_table(spark, table, GOLD_DDL, ["segment_name", "advertiser_name"],
+                                             scratch_path(spark, "gold"))
+        else:
+            # the ids are read before their partitions are replaced
+            known = scope.written(spark.table(table).select("segment_name", "advertiser_name", "segment_id").distinct())
+        writers.insert_overwrite(gold(t, scope, known), table)
     return table
 
 
@@ -367,18 +367,18 @@ def dq_reject_routing(spark, sf):
     cols = [F.col("input_street").alias("src_street"), F.col("input_zip").alias("src_zipcode"),
             F.col("input_city").alias("src_city"), F.col("input_state").alias("src_state"), "reason",
             "segment_name", "advertiser_name", "file_name"]
-    shared_dir(spark)
-    # standardised once: what is split below is what the shared folder holds
-    all_rows = routed(t).checkpoint()
-    bad = all_rows.filter(F.col("reason").isNotNull()).select(*cols)
-    unmatched = (matched(t, all_rows).filter(F.col("uhid") == "-1")
-                 .withColumn("reason", F.lit(matching.REASON_NON_MATCHED)).select(*cols))
     table = f"rejects_{uuid.uuid4().hex[:10]}"
     writers.create_partitioned_table(
         spark, table, "src_street string, src_zipcode string, src_city string, src_state string, reason string, "
         "file_name string, dtm_created timestamp, segment_name string, advertiser_name string",
         ["segment_name", "advertiser_name"], scratch_path(spark, "rejects"))
-    writers.append_into(bad.unionByName(unmatched).withColumn("dtm_created", F.current_timestamp()), table)
+    with Scope(spark) as scope:
+        # standardised once: what is split below is what the scope's folder holds
+        all_rows = scope.written(routed(t))
+        bad = all_rows.filter(F.col("reason").isNotNull()).select(*cols)
+        unmatched = (matched(t, all_rows).filter(F.col("uhid") == "-1")
+                     .withColumn("reason", F.lit(matching.REASON_NON_MATCHED)).select(*cols))
+        writers.append_into(bad.unionByName(unmatched).withColumn("dtm_created", F.current_timestamp()), table)
     return spark.table(table).drop("dtm_created")
 
 

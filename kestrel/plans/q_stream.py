@@ -94,19 +94,21 @@ def stream_passthrough(spark, sf):
     return _drain_to_files(s, spark, "passthrough")
 
 
-@query("stream_file_arrival", """
-SELECT event_id, event_type, user_id, ts, value,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) / CAST(count(value) OVER w AS DOUBLE) AS value_ma,
-       CAST(ts AS DATE) AS file_day
-FROM events
-WINDOW w AS (PARTITION BY CAST(ts AS DATE), event_type, user_id ORDER BY ts, event_id
-             ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)""")
+# Four measures of an event, as the daily files of a job have them.
+MEASURES = {"value": "value", "n_props": "length(props)", "bought": "CASE WHEN event_type = 'purchase' THEN value END", "hour": "hour(ts)"}
+
+
+@query("stream_file_arrival", f"""
+WITH e AS (SELECT event_id, event_type, user_id, ts, CAST(ts AS DATE) AS file_day, {", ".join(f"{x} AS m_{m}" for m, x in MEASURES.items())} FROM events)
+SELECT event_id, event_type, user_id, ts, file_day,
+       {", ".join(f"CAST(sum(CAST(m_{m} AS DECIMAL(28,10))) OVER w AS DOUBLE) / CAST(nullif(count(m_{m}) OVER w, 0) AS DOUBLE) AS {m}_ma" for m in MEASURES)}
+FROM e WINDOW w AS (PARTITION BY file_day, event_type, user_id ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)""")
 def stream_file_arrival(spark, sf):
     """SRC-16 / STM-12 / PIP-14: files arrive in a folder named by the day
     (MM-dd-yyyy), two a day here; each micro-batch takes the new files, reads
-    the days from their paths, computes the 3-row moving average over all files
-    that the touched days have so far, and overwrites those days' output
-    partitions. So a later file of a day adds to it and does not replace it."""
+    the days from their paths, computes the 3-row moving averages of four measures
+    over all files that the touched days have so far, and overwrites those days'
+    output partitions. So a later file of a day adds to it and does not replace it."""
     ev = Tables(spark, sf).events
     src = scratch_path(spark, "arrival-in")
     (ev.withColumn("arrival", F.date_format("ts", "MM-dd-yyyy")).repartition("arrival", F.col("event_id") % 2)
@@ -121,18 +123,17 @@ def stream_file_arrival(spark, sf):
             days = batch.select(F.date_format("file_day", "MM-dd-yyyy").alias("arrival"), "file_day").distinct()
             # one row for each touched day; the folders of other days are pruned
             b = batch.sparkSession.read.parquet(src).join(F.broadcast(days), "arrival")
-            b = b.select("event_id", "event_type", "user_id", "ts", "value", "file_day")
-            ma = windows.centered_moving_avg(b, ["file_day", "event_type", "user_id"], "ts", "event_id", ["value"])
+            b = b.select("event_id", "event_type", "user_id", "ts", "file_day", *[F.expr(x).alias(m) for m, x in MEASURES.items()])
+            ma = windows.centered_moving_avg(b, ["file_day", "event_type", "user_id"], "ts", "event_id", list(MEASURES))
             (ma.hint("rebalance", "file_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("file_day").parquet(out))
         return run
 
     out = _drain_foreach(s, spark, "arrival", fn_of_path, "append")
-    return out.select("event_id", "event_type", "user_id", "ts", "value", "value_ma", "file_day")
+    return out.select("event_id", "event_type", "user_id", "ts", "file_day", *[f"{m}_ma" for m in MEASURES])
 
 
 GATE_BEFORE, GATE_AFTER, GATE_NEED = 6, 1, 7
-MEASURES = {"value": "value", "n_props": "length(props)", "bought": "CASE WHEN event_type = 'purchase' THEN value END", "hour": "hour(ts)"}
 # Arrives after all others; until then its own day and the days that need it wait.
 LATE_DAY = 12
 
