@@ -64,11 +64,6 @@ def clean_name(c) -> Column:
     return F.translate(F.col(c) if isinstance(c, str) else c, CLEAN_NAME_CHARS, "")
 
 
-def norm_key(c) -> Column:
-    """JON-05 key normaliser: null and blank-padded values compare as trimmed text."""
-    return F.coalesce(F.trim(F.col(c) if isinstance(c, str) else c), F.lit(""))
-
-
 def lower_trim(c) -> Column:
     """STR-02."""
     return F.lower(F.trim(F.col(c) if isinstance(c, str) else c))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions.scalars import hash_ip
+from kestrel.operators.quality import has_rows
 from kestrel.sources.readers import read_if_there
 
 HASH_MAP_SCHEMA = "hash_ip_addr string, ip string, source_date date"
@@ -30,7 +31,7 @@ def upkeep_hash_map(spark: SparkSession, ips: DataFrame, path: str, salt: str =
     map as stored."""
     have = read_hash_map(spark, path).select("source_date").distinct()
     todo = ips.join(have, "source_date", "left_anti").select("ip", "source_date").distinct()
-    if not todo.isEmpty():
+    if has_rows(todo):
         (todo.select(hash_ip("ip", salt).alias("hash_ip_addr"), "ip", "source_date")
          .hint("rebalance", "source_date")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions.scalars import decrypt_id, encrypt_id, hash_ip
+from kestrel.functions.scalars import decrypt_id, encrypt_id, hash_ip, lower_trim
 from kestrel.operators import extracts, matching
 from kestrel.plans.registry import query
 from kestrel.session import Scope, scratch_path
@@ -330,7 +330,7 @@ def identity_of(t: Tables, incoming: DataFrame) -> DataFrame:
     addresses, only_ids = matching.by_layout(incoming)
     std = matching.standardize_columns(matching.prepare_input(addresses, "address", "city", "state", "zip"))
     found = _ctx(matched(t, matching.route_rejects(std))).filter(F.col("uhid") != "-1")
-    given = _ctx(only_ids.withColumn("uhid", F.lower(F.trim("address"))))
+    given = _ctx(only_ids.withColumn("uhid", lower_trim("address")))
     return chain(t, found.unionByName(given).distinct()).select("segment_name", "advertiser_name", "file_name", "uhid", "nu_uhid", "cuhid", "ip_addr")
 
 

@@ -29,8 +29,3 @@ class Tables:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
-
-    def register_views(self) -> None:
-        """Expose every table as a temp view of the same name, for SQL users."""
-        for n in TABLE_NAMES:
-            getattr(self, n).createOrReplaceTempView(n)
