@@ -23,6 +23,9 @@ BLOCK_BYTES = 4 << 20
 #: Text bytes that one slice of an Arrow batch is aimed at; numpy needs some fifty times as much for a moment.
 SLICE_BYTES = 1 << 20
 
+#: Text bytes (or values) that are hashed at a time: their powers and sums are all that hashing holds beside its result.
+HASH_BYTES = 1 << 18
+
 U64 = np.uint64
 
 
@@ -126,15 +129,21 @@ class Words:
         return np.arange(self.n) + k <= np.repeat(self.ptr[1:], self.count)
 
     def hashes(self, seed: int = 0, keep: bool = True) -> np.ndarray:
-        """64-bit hash of each word's bytes."""
-        if not self.n:
-            return np.zeros(0, U64)
-        table_, up, down = powers(len(self.data), seed, keep)
-        total = np.zeros(len(self.data) + 1, U64)
-        value = table_[self.data]
-        value *= up[: len(value)]
-        np.cumsum(value, out=total[1:])
-        return mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(U64))
+        """64-bit hash of each word's bytes, worked out over ``HASH_BYTES`` of whole words (one word at least) at a time."""
+        out = np.empty(self.n, U64)
+        at = 0
+        while at < self.n:
+            first = self.start[at]
+            to = max(at + 1, int(np.searchsorted(self.end, first + HASH_BYTES, "right")))
+            start, end, data = self.start[at:to] - first, self.end[at:to] - first, self.data[first: self.end[to - 1]]
+            table_, up, down = powers(len(data), seed, keep)
+            total = np.zeros(len(data) + 1, U64)
+            value = table_[data]
+            value *= up[: len(value)]
+            np.cumsum(value, out=total[1:])
+            out[at:to] = mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
+            at = to
+        return out
 
 
 _POWERS: dict[int, tuple] = {}
@@ -173,13 +182,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def grams(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     """Hash of the k values from each place on (len(h) - k + 1 of them), whatever k costs the same."""
-    m = len(h) - k + 1
-    if m <= 0:
-        return np.zeros(0, U64)
-    _, up, down = powers(len(h) + 1, 100 + seed)
-    total = np.zeros(len(h) + 1, U64)
-    np.cumsum(h * up[: len(h)], out=total[1:])
-    return mix((total[k:] - total[:m]) * down[:m] + U64(k))
+    out = np.empty(max(0, len(h) - k + 1), U64)
+    step = max(k, HASH_BYTES)
+    for at in range(0, len(out), step):
+        part = h[at: at + step + k - 1]
+        m = len(part) - k + 1
+        _, up, down = powers(len(part) + 1, 100 + seed)
+        total = np.zeros(len(part) + 1, U64)
+        np.cumsum(part * up[: len(part)], out=total[1:])
+        out[at: at + m] = mix((total[k:] - total[:m]) * down[:m] + U64(k))
+    return out
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:

@@ -47,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import (SPACE_WORDS, U64, Words, block_of, blocks, bucket_of, cuts, grams, member, ranges,
+from kestrel.llm.common import (SPACE_WORDS, U64, Words, block_of, blocks, bucket_of, cuts, grams, member, mix, ranges,
                                 sliding_min, text_bytes)
 
 WINDOW = 13
@@ -77,9 +77,8 @@ class _Block:
         self.whole = w.fits(k) & self.known[row]
 
     def anchors(self, m: int) -> np.ndarray:
-        """The minimizer of each window (of the first n - k + 1 places, whole or not)."""
-        self.h = self.words.hashes()
-        return sliding_min(grams(self.h, m), self.k - m + 1) if self.words.n >= self.k else np.zeros(0, U64)
+        """The minimizer of each window (of the first n - k + 1 places, whole or not), mixed: least hashes are small, and would crowd the first buckets."""
+        return mix(sliding_min(grams(self.words.hashes(), m), self.k - m + 1)) if self.words.n >= self.k else np.zeros(0, U64)
 
     def edges(self) -> np.ndarray:
         out = np.zeros(max(0, self.words.n - self.k + 1), _EDGE)
