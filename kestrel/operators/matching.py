@@ -9,8 +9,10 @@ broadcasts a table whose size grows with the data.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +35,9 @@ STREET_SUFFIXES = (("ST", "STREET"), ("AVE", "AVENUE"), ("RD", "ROAD"), ("BLVD",
                    ("DR", "DRIVE"), ("LN", "LANE"))
 ZIP_PATTERN = "^[0-9]{5}$"
 
+#: Rows that the batch standardiser hands back at a time.
+ROWS_BACK = 10_000
+
 REASON_NON_STANDARDIZED = "NON_STANDARDIZED_ADDRESS"
 REASON_NON_MATCHED = "NON_MATCHED_ADDRESS"
 REASON_PARTIAL = "PARTIAL"
@@ -73,30 +78,31 @@ def standardize_columns(df: DataFrame) -> DataFrame:
                      F.lit(None).cast("string").alias("std_error"))
 
 
+_LONG_FORM = dict(STREET_SUFFIXES)
+_BLANKS = re.compile(r"\s+")
+_ZIP = re.compile(ZIP_PATTERN[1:-1])
+
+
 def rules_standardizer(batch: pd.DataFrame) -> pd.DataFrame:
     """The same rule set for one batch of input fields (pandas), usable as
-    the ``standardizer`` of :func:`standardize_batches`."""
-    street = batch["input_street"].fillna("").str.strip(" ")
-    line1 = street.str.replace(r"\s+", " ", regex=True).str.upper()
-    for short, long in STREET_SUFFIXES:
-        line1 = line1.str.replace(f" {short}$", f" {long}", regex=True)
-    has = street != ""
-
-    def upper_or_none(s: pd.Series) -> pd.Series:
-        v = s.fillna("").str.strip(" ").str.upper()
-        return v.where(v != "", None)
-
-    zipc = batch["input_zip"].fillna("").str.strip(" ")
-    out = pd.DataFrame({
-        "std_delivery_line_1": line1.where(line1 != "", None),
-        "std_delivery_line_2": upper_or_none(batch["input_secondary"]),
-        "std_zipcode": zipc.where(zipc.str.fullmatch(r"[0-9]{5}"), None),
-        "std_city": upper_or_none(batch["input_city"]),
-        "std_state": upper_or_none(batch["input_state"]),
-    })
-    out = out.astype(object)
-    out.loc[~has.to_numpy(), :] = None
-    return out
+    the ``standardizer`` of :func:`standardize_batches`. A call is too short for
+    pandas' string methods, so it works on plain strings."""
+    out = []
+    for street, *rest in zip(*(batch[c].tolist() for c in INPUT_FIELDS), strict=True):
+        line1 = _text(street)
+        if not line1:
+            out.append((None,) * len(STD_FIELDS))
+            continue
+        line1 = _BLANKS.sub(" ", line1).upper()
+        head, blank, last = line1.rpartition(" ")
+        line1 = f"{head} {_LONG_FORM.get(last, last)}" if blank else line1
+        line2, zipcode, city, state = map(_text, rest)
+        out.append((line1, line2.upper() or None, zipcode if _ZIP.fullmatch(zipcode) else None, city.upper() or None, state.upper() or None))
+    return pd.DataFrame(out, columns=list(STD_FIELDS), dtype=object)
+
+
+def _text(x) -> str:
+    return x.strip(" ") if isinstance(x, str) else ""
 
 
 def _calls(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
@@ -123,7 +129,6 @@ def _replies(standardizer: Callable[[pd.DataFrame], pd.DataFrame], rows: pd.Data
         if len(res) != len(rows):
             raise ValueError(f"{len(res)} replies to {len(rows)} addresses")
         res = res[list(STD_FIELDS)].reset_index(drop=True).astype(object)
-        res = res.where(res.notna(), None)
         res["std_error"] = None
     except Exception:  # noqa: BLE001 - any failure of the service call
         res = pd.DataFrame({c: [None] * len(rows) for c in STD_FIELDS})
@@ -136,19 +141,23 @@ def standardize_batches(df: DataFrame, standardizer: Callable[[pd.DataFrame], pd
     """UDF-04 with a pluggable batch standardiser (e.g. a client of an
     address service that takes ``batch_size`` addresses per call).
 
-    ``mapInPandas`` streams each partition and cuts it into calls of
-    ``batch_size`` rows across its Arrow batches, so only a partition's last call
-    is not full. A call that raises or answers with another number of rows marks
-    its rows with ``std_error`` (they become rejects, Q30) instead of losing them.
+    Rows are dealt out first, as a table of few files would be read by few tasks;
+    AQE leaves a small table in one. ``mapInPandas`` streams each partition and
+    cuts it into calls of ``batch_size`` rows across its Arrow batches, so only a
+    partition's last call is not full; rows go back with the replies of many calls at
+    a time. A call that raises or answers with another number of rows marks its rows
+    with ``std_error`` (they become rejects, Q30) instead of losing them.
     """
     fields = list(df.schema.fields) + [StructField(c, StringType()) for c in STD_FIELDS] + \
         [StructField("std_error", StringType())]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _calls(batches, batch_size):
-            yield pd.concat([rows, _replies(standardizer, rows)], axis=1)
+        calls = ((rows, _replies(standardizer, rows)) for rows in _calls(batches, batch_size))
+        while some := list(islice(calls, max(1, ROWS_BACK // batch_size))):
+            rows, replies = (pd.concat(x, ignore_index=True) for x in zip(*some, strict=True))
+            yield pd.concat([rows, replies.where(replies.notna(), None)], axis=1)
 
-    return df.mapInPandas(run, StructType(fields))
+    return df.hint("rebalance").mapInPandas(run, StructType(fields))
 
 
 def standardize_lookup(df: DataFrame, store: str, standardizer: Callable[[pd.DataFrame], pd.DataFrame] = rules_standardizer,
