@@ -11,6 +11,7 @@ stream.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -19,10 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from kestrel.operators.ledger import fold, in_cents
 
+#: Shares that the accounts of a ledger are dealt to.
+SHARES = 4096
+
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -44,44 +48,59 @@ def _wake(state: GroupState, at_ms: int) -> None:
 
 
 def stream_ledger(stream: DataFrame, account: str, ts: Column, id_col: str, kind: str, amount: str,
-                  deposit_kinds, withdrawal_kinds, delay: str) -> DataFrame:
+                  deposit_kinds, withdrawal_kinds, delay: str, shares: int = SHARES) -> DataFrame:
     """WIN-10 on a stream: (account, id, ts, applied, balance) of every movement, once it is final.
 
     Movements of an account are applied in the order of (ts, id). One is final
     when the watermark has passed its time, since an earlier one can come until
-    then. State of an account: its balance and the movements not yet final.
-    Null amounts change nothing; a null account is an account; movements without
-    a time are left out, as the watermark cannot place them.
+    then. Null amounts change nothing; a null account is an account, a null id
+    comes first; movements without a time are left out, as the watermark cannot
+    place them. Accounts are plain values (numbers, texts, dates): they travel as text.
+
+    A call of Python costs what thousands of movements do, so accounts are not the
+    keys: each belongs by its hash to one of ``shares``, whose state holds the
+    balance of each of its accounts and their movements not yet final. A batch makes
+    a call for each share at most. A checkpoint goes on with its own ``shares`` only.
     """
     rows = (stream.where(F.col(kind).isin(*deposit_kinds, *withdrawal_kinds)).withColumn("_et", ts).where("_et is not null")
             .withWatermark("_et", delay))
-    rows = rows.select(account, "_et", F.col(id_col).cast("long").alias("_id"), F.unix_micros("_et").alias("_us"),
-                       F.col(kind).isin(*deposit_kinds).alias("_dep"), in_cents(stream, amount).alias("_cents"))
-    who = stream.schema[account]
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        balance, us, ids, dep, cents = state.get if state.exists else (0, [], [], [], [])
-        held = list(zip(us, ids, dep, cents, strict=True))
+    whole, cents = F.col(id_col).cast("long"), in_cents(stream, amount)
+    # null numbers would come to pandas as floats
+    rows = rows.select(F.pmod(F.xxhash64(account), F.lit(shares)).cast("int").alias("_share"), "_et", F.col(account).cast("string").alias("_who"),
+                       F.unix_micros("_et").alias("_us"), whole.isNotNull().alias("_named"), F.coalesce(whole, F.lit(0)).alias("_id"),
+                       F.col(kind).isin(*deposit_kinds).alias("_dep"), cents.isNotNull().alias("_paid"), F.coalesce(cents, F.lit(0)).alias("_cents"))
+
+    def run(_key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        accounts, balances, *moves = state.get if state.exists else ([],) * 7
+        balance = dict(zip(accounts, balances, strict=True))
+        held = list(zip(*moves, strict=True))
         for pdf in batches:
-            some = [None if c != c else int(c) for c in pdf["_cents"].tolist()]
-            held += zip(pdf["_us"].tolist(), pdf["_id"].tolist(), pdf["_dep"].tolist(), some, strict=True)
-        held.sort(key=lambda m: m[:2])
+            ids = [i if named else None for i, named in zip(pdf["_id"].tolist(), pdf["_named"].tolist(), strict=True)]
+            amounts = [c if paid else None for c, paid in zip(pdf["_cents"].tolist(), pdf["_paid"].tolist(), strict=True)]
+            held += zip(pdf["_us"].tolist(), ids, pdf["_who"].tolist(), pdf["_dep"].tolist(), amounts, strict=True)
+        held.sort(key=lambda m: (m[0], m[1] is not None, m[1] or 0))
         past = state.getCurrentWatermarkMs() * 1000
-        n = sum(m[0] <= past for m in held)
+        n = bisect_right(held, past, key=lambda m: m[0])
         if n:
-            applied, after = fold([m[2] for m in held[:n]], [m[3] for m in held[:n]], balance)
-            balance = after[-1]
-            yield pd.DataFrame({account: pd.Series([key[0]] * n, dtype=object if key[0] is None else None), "id": [m[1] for m in held[:n]],
-                                "ts": pd.to_datetime([m[0] for m in held[:n]], unit="us"), "applied": applied, "cents": after})
+            applied, after = [], []
+            for _, _, who, dep, cents in held[:n]:
+                (ok,), (left,) = fold([dep], [cents], balance.get(who, 0))
+                balance[who] = left
+                applied.append(ok)
+                after.append(left)
+            us, ids, who, *_ = zip(*held[:n], strict=True)
+            yield pd.DataFrame({"who": pd.Series(who, dtype=object), "id": pd.Series(ids, dtype=object if None in ids else "int64"),
+                                "ts": pd.to_datetime(us, unit="us"), "applied": applied, "cents": after})
         held = held[n:]
-        state.update((balance, *([list(x) for x in zip(*held, strict=True)] if held else ([], [], [], []))))
+        state.update((list(balance), list(balance.values()), *([list(x) for x in zip(*held, strict=True)] if held else ([],) * 5)))
         if held:
             _wake(state, held[0][0] // 1000 + 1)
 
-    out = StructType([who, StructField("id", LongType()), StructField("ts", TimestampType())]).add("applied", "boolean").add("cents", "long")
-    got = rows.groupBy(account).applyInPandasWithState(
-        run, out, "balance long, us array<long>, ids array<long>, dep array<boolean>, cents array<long>", "append", GroupStateTimeout.EventTimeTimeout)
-    return got.select(account, "id", "ts", "applied", (F.col("cents").cast("double") / 100).alias("balance"))
+    out = StructType([StructField("who", StringType()), StructField("id", LongType()), StructField("ts", TimestampType())]).add("applied", "boolean").add("cents", "long")
+    got = rows.groupBy("_share").applyInPandasWithState(
+        run, out, "accounts array<string>, balances array<long>, us array<long>, ids array<long>, who array<string>, dep array<boolean>, cents array<long>",
+        "append", GroupStateTimeout.EventTimeTimeout)
+    return got.select(F.col("who").cast(stream.schema[account].dataType).alias(account), "id", "ts", "applied", (F.col("cents").cast("double") / 100).alias("balance"))
 
 
 class Differences(StatefulProcessor):
